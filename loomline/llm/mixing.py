@@ -59,14 +59,14 @@ def source_targets(sizes: DataFrame, max_repeats: int = 3, weight=default_weight
 
 def position(begin: Column, target: Column, slope: Column) -> Column:
     """t where the cumulative demand target * (t + slope * (t^2 - t)) reaches begin."""
-    share = F.least(begin / target, F.lit(1.0))
+    share = F.coalesce(F.least(F.try_divide(begin, target), F.lit(1.0)), F.lit(0.0))
     linear = 1 - slope
     root = F.sqrt(linear * linear + 4 * slope * share)
-    return F.when(slope == 0, share).otherwise(2 * share / (linear + root))
+    return F.when(slope == 0, share).otherwise(F.coalesce(F.try_divide(2 * share, linear + root), F.lit(0.0)))
 
 
 def plan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", max_repeats: int = 3, seed: int = 42, weight=default_weight, slope=default_slope, extra: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, n_copies, positions (of its copies), and the columns of `extra`."""
+    """One row per document: doc_id, size, source_size, target, source, taken, n_copies, positions (of its copies), and the columns of `extra`."""
     slim = df.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"),
         F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("h"), *extra,
@@ -86,7 +86,7 @@ def plan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     places = F.filter(F.transform(F.sequence(F.lit(0), F.lit(max_repeats - 1)), lambda k: k * F.col("source_size") + F.col("begin")), lambda b: (F.col("size") > 0) & (b + F.col("size") / 2.0 < F.col("target")))
     rows = rows.withColumn("places", places)
     return rows.select(
-        "doc_id", "size", "source_size", "target", (F.size("places") * F.col("size")).cast("long").alias("taken"), F.size("places").alias("n_copies"),
+        "doc_id", "size", "source_size", "target", "source", (F.size("places") * F.col("size")).cast("long").alias("taken"), F.size("places").alias("n_copies"),
         F.transform("places", lambda b: position(b, F.col("target"), F.col("slope"))).alias("positions"), *extra,
     )
 

@@ -21,7 +21,42 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op4_quality_rules": op4_quality_rules}
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scans import report
+
+    return report(table(spark, sf_dir, "documents"))
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .url_filters import judge, junk_page
+
+    return judge(table(spark, sf_dir, "pages"), bad=junk_page(F.col("html")))
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    "op1_secret_scans": op1_secret_scans, "op3_mixing": op3_mixing, "op4_quality_rules": op4_quality_rules,
+    "op5_url_filters": op5_url_filters, "op7_topk": op7_topk, "op8_bpe": op8_bpe, "op9_warc": op9_warc,
+}
 
 OP4_SQL = r"""
 WITH w AS (
@@ -48,4 +83,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-SQL = {"op4_quality_rules": OP4_SQL}
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+SQL = {"op4_quality_rules": OP4_SQL, "op7_topk": OP7_SQL, "op9_warc": OP9_SQL}

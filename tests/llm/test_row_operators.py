@@ -1,0 +1,140 @@
+import gzip
+import hashlib
+
+import numpy as np
+
+from loomline.llm import bpe, secret_scans, topk, url_filters, warc
+
+
+def test_forest_on_held_out_findings():
+    forest = secret_scans.train()
+    held = secret_scans.default_findings(1200, seed=1234)
+    x = np.array([secret_scans.features(*f[:4]) for f in held])
+    assert ((forest.predict(x) >= 0.5) == np.array([f[4] for f in held])).mean() > 0.97
+
+
+def test_forest_trained_from_a_table(spark):
+    rows = secret_scans.default_findings(1500, seed=5)
+    forest = secret_scans.train(spark.createDataFrame(rows, "value string, before string, after string, path string, label int"))
+    x = np.array([secret_scans.features(*f[:4]) for f in secret_scans.default_findings(400, seed=6)])
+    assert ((forest.predict(x) >= 0.5) == np.arange(400) % 2).mean() < 0.1
+
+
+def test_scan_finds_planted_and_leaves_clean(spark, odd, empty):
+    text = 'ok token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" and commit 24be64439e3e49cf46b2d7c90f3602a3d0b907ff, card 4785380592391139 mail an.92@mail2.example.com'
+    df = spark.createDataFrame([(1, text, "web"), (2, "plain words only", None)], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secret_scans.report(df).collect()}
+    assert got[1].n_secrets == 1 and text[got[1].spans[0].start : got[1].spans[0].end] == "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" and got[2].n_secrets == 0
+    out = {r.doc_id: r.text for r in secret_scans.redact(df).collect()}
+    assert out[1].count(secret_scans.MARK) == 1 and out[1].endswith("example.com") and out[2] == "plain words only"
+    assert secret_scans.report(odd).count() == odd.count() and secret_scans.report(empty).count() == 0
+    same = {(r.doc_id, r.text) for r in odd.collect()}
+    assert {(r.doc_id, r.text) for r in secret_scans.redact(odd).collect()} == same
+
+
+def test_scan_equals_row_by_row(docs):
+    forest = secret_scans.train()
+    want = {r.doc_id: len(secret_scans.judged(r.text, r.source, forest)[0]) for r in docs.collect()}
+    assert {r.doc_id: r.n_candidates for r in secret_scans.report(docs).collect()} == want
+
+
+def test_bpe_equals_the_library(docs, odd, empty, spark):
+    path = bpe.tokenizer_path()
+    t = bpe.tokenizer(path)
+    extra = spark.createDataFrame([(1, "Σας ΣΑΣ <|endoftext|>x <|startoftext|> it's 12\u0301 e\u0301 \u0085a\u2003b\x1cc İ"), (2, "a<|endoftext|>b\x0bc\r\nd")], "doc_id long, text string")
+    for df, options in ((docs, {}), (odd, {}), (extra, {}), (docs, {"head_words": 100})):
+        want = set()
+        for r in df.collect():
+            ids = t.encode(r.text or "", add_special_tokens=False).ids
+            want.add((r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+        got = bpe.digests(df, **options).collect()
+        assert len(got) == df.count() and {tuple(r) for r in got} == want
+    assert bpe.digests(empty).count() == 0
+    both = bpe.decode(bpe.encode(extra, "text")).collect()
+    assert [r.decoded for r in both] == [t.decode(t.encode(r.text, add_special_tokens=False).ids, skip_special_tokens=False) for r in both]
+    pieces = bpe.piece_table(spark)
+    assert pieces.filter("id = 49407").first().piece == "<|endoftext|>"
+
+
+def brute_top(rows, every, k):
+    clean = []
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            clean.append((i, [int(np.floor(256.0 * float(np.float32(x)))) for x in v]))
+    clean = [(i, list(v)) for i, v in {(i, tuple(v)) for i, v in clean}]
+    out = set()
+    for q, a in clean:
+        if q % every == 0:
+            best = sorted((-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in clean if i != q)[:k]
+            out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    return out
+
+
+def test_top_k_equals_brute_force(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in r.normal(size=8).astype("float32")]) for i in range(400)]
+    rows += [(1000 + i, [0.5] * 8) for i in range(300)]  # ties, one hot group
+    rows += [(5, rows[5][1]), (2000, None), (2001, [1.0, None] + [0.0] * 6), (2002, [float("nan")] * 8), (2050, [float("inf")] + [0.0] * 7), (None, [1.0] * 8), (2003, [])]
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, g int, q string")
+    got = topk.top_k(df, chunk_rows=64, n_pivots=9, n_seeds=32, block_queries=5).collect()
+    assert {tuple(x) for x in got} == brute_top(rows, 50, 5) and len(got) == len({tuple(x) for x in got})
+    big = [(i, [1e15 * (i % 3 - 1), float(i)]) for i in range(60)]
+    df = spark.createDataFrame(big, "vec_id long, embedding array<double>")
+    assert topk.top_k(df).filter("rank = 1").count() == 2
+    assert topk.top_k(df.limit(0)).count() == 0
+    assert topk.top_k(spark.createDataFrame([(50, [1.0])], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_warc_round_trip(spark, empty):
+    long = "<p>" + "wörd " * 400_000
+    same = "x" * 120
+    rows = [(1, "http://a", same), (3, "http://b\r\nX: y", same), (2, None, same), (2, None, same), (None, "http://n", same), (4, "u", "tiny"), (5, "u", "tiny"), (6, "u", None), (7, "u", ""), (8, "u", "WARC/1.1\r\n\r\n\r\n\r\n" * 20), (9, "u", long), (10, "u", long)]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, record_type string")
+    got = warc.round_trip(df).collect()
+    assert len(got) == len(rows)
+    by = sorted((r.page_id is None, r.page_id or 0, r.record_type, r.refers_to or 0, r.payload_bytes) for r in got)
+    n = len(long.encode())
+    assert by == sorted([(False, 1, "response", 0, 120), (False, 2, "revisit", 1, 120), (False, 2, "revisit", 1, 120), (False, 3, "revisit", 1, 120), (True, 0, "revisit", 1, 120), (False, 4, "response", 0, 4), (False, 5, "response", 0, 4), (False, 6, "response", 0, 0), (False, 7, "response", 0, 0), (False, 8, "response", 0, 320), (False, 9, "response", 0, n), (False, 10, "revisit", 9, n)])
+    payload = {r[0]: (r[2] or "").encode() for r in rows}
+    assert all(r.payload_digest == hashlib.sha256(payload[r.page_id]).hexdigest() for r in got)
+    assert warc.round_trip(df.limit(0)).count() == 0
+
+
+def test_warc_reader_takes_records_gzipped_one_by_one():
+    record = lambda body: b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body)
+    bodies = [b"a" * k for k in (0, 1, 300_000, 5)]
+    for raw in (b"".join(map(record, bodies)), gzip.compress(b"".join(map(record, bodies))), b"".join(gzip.compress(record(b)) for b in bodies)):
+        assert [b for _, _, b in warc.records(raw)] == bodies
+
+
+def url_brute(url):
+    u = url or ""
+    if "://" not in u:
+        return "", ""
+    rest = u.split("://", 1)[1]
+    k = min((rest.index(c) for c in "/?#" if c in rest), default=len(rest))
+    host, tail = rest[:k], rest[k:]
+    k = min((tail.index(c) for c in "?#" if c in tail), default=len(tail))
+    return "".join(c.lower() if c.isascii() else c for c in host), tail[:k]
+
+
+def test_url_rules_and_parts(spark):
+    urls = [None, "", "nothing", "http://", "HTTP://WWW.Example.COM/en/1?x#y", "http://example.com/en/", "http://a.example.com/en/2", "http://x.net/es/1#t", "http://x.net/es", "http://net/fr/", "http://bet/fr/", "http://com", "http://a.com?u=/x", "a://b://c/d", "http://É.org/ü?", "http://h:80/p\nq", "http://www.example.com/de/"]
+    df = spark.createDataFrame([(k, u, "c") for k, u in enumerate(urls)], "page_id long, url string, host string")
+    got = {r.page_id: r for r in url_filters.judge(df).collect()}
+    rules = {4: "www.example.com/en/", 5: "example.com/en/", 6: "example.com/en/", 7: "net/es/", 9: "net/fr/", 16: "com/"}
+    for k, u in enumerate(urls):
+        assert (got[k].host, got[k].path) == url_brute(u), u
+        assert got[k].rule == rules.get(k), u
+        assert got[k].verdict == ("block" if k in (5, 6, 7, 9) else "allow")
+    assert url_filters.judge(df.limit(0)).count() == 0
+
+
+def test_templates_reject_by_purity(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(f"http://h.org/bad/{k}", True) for k in range(60)] + [(f"http://h.org/good/{k}", False) for k in range(200)] + [(f"http://h.org/fine/{k}", False) for k in range(200)] + [(f"http://h.org/bad/n{k}", None) for k in range(5)]
+    df = spark.createDataFrame([(k, u, b) for k, (u, b) in enumerate(rows)], "page_id long, url string, b boolean")
+    got = url_filters.judge(df, bad=F.col("b")).collect()
+    assert {r.verdict for r in got if r.path.startswith("/bad/")} == {"block"} and {r.verdict for r in got if not r.path.startswith("/bad/")} == {"allow"}
+    assert {r.template for r in got if r.path.startswith("/bad/")} == {"h.org/bad/*"}
