@@ -35,6 +35,18 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), bad=junk_page(F.col("html")))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op6_automata_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .automata_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents")).drop("n_spans")
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .topk import top_k
 
@@ -54,8 +66,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_secret_scans": op1_secret_scans, "op3_mixing": op3_mixing, "op4_quality_rules": op4_quality_rules,
-    "op5_url_filters": op5_url_filters, "op7_topk": op7_topk, "op8_bpe": op8_bpe, "op9_warc": op9_warc,
+    "op1_secret_scans": op1_secret_scans, "op2_suffix_dedup": op2_suffix_dedup, "op3_mixing": op3_mixing, "op4_quality_rules": op4_quality_rules,
+    "op5_url_filters": op5_url_filters, "op6_automata_dedup": op6_automata_dedup, "op7_topk": op7_topk, "op8_bpe": op8_bpe, "op9_warc": op9_warc,
 }
 
 OP4_SQL = r"""
@@ -83,6 +95,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+OP6_SQL = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT r, doc_id, i, array_to_string(ws[i:i+12], ' ') AS g FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+hit AS (
+  SELECT r, i FROM (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM win) WHERE least < doc_id OR (doc_id IS NULL AND least IS NOT NULL)),
+gone AS (
+  SELECT r, list(DISTINCT i + k) AS at FROM hit, range(13) AS o(k) GROUP BY r),
+k AS (
+  SELECT doc_id, len(ws) AS n, CASE WHEN at IS NULL THEN ws ELSE list_filter(ws, lambda x, j: NOT list_contains(at, j)) END AS kept FROM w LEFT JOIN gone USING (r))
+SELECT doc_id, n::BIGINT AS n_words, (n - len(kept))::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k
+"""
+
 OP7_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
@@ -102,4 +128,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
 FROM f
 """
 
-SQL = {"op4_quality_rules": OP4_SQL, "op7_topk": OP7_SQL, "op9_warc": OP9_SQL}
+SQL = {"op4_quality_rules": OP4_SQL, "op6_automata_dedup": OP6_SQL, "op7_topk": OP7_SQL, "op9_warc": OP9_SQL}
