@@ -135,7 +135,8 @@ def find_regions(grams: np.ndarray, content: Callable, starts: np.ndarray, ends:
     ok = stop + length - 1 <= ends[doc]
     first, stop, doc = first[ok], stop[ok], doc[ok]
     at = low[first]
-    return Regions(grams[at], mix(content(first, stop + length - 1) + (at - first).astype(U)) >> U(16), doc, first, stop)
+    # Anchors are small hashes; mixed again they spread over all buckets.
+    return Regions(mix(grams[at] + U(1)), mix(content(first, stop + length - 1) + (at - first).astype(U)) >> U(16), doc, first, stop)
 
 
 class Bytes:

@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, remove_path
+from .common import fresh_path, remove_path, small_batches
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Order value of a null id: after every other.
 LAST_ID = (1 << 63) - 1
 _ZSTD = pa.Codec("zstd", compression_level=1)
@@ -112,8 +112,7 @@ def chunk_table(df: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk
             ids = batch["id"]
             nulls = np.asarray(ids.is_null().to_numpy(zero_copy_only=False), bool)
             values = ids.fill_null(LAST_ID).to_numpy(zero_copy_only=False).astype("<i8")
-            texts = batch["text"].cast(pa.large_binary())
-            texts = texts.fill_null(b"")
+            texts = batch["text"].cast(pa.large_binary()).fill_null(b"")
             offsets = np.frombuffer(texts.buffers()[1], "<i8", len(texts) + 1, texts.offset * 8)
             data = texts.buffers()[2]
             at = 0
@@ -133,5 +132,6 @@ def chunk_table(df: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk
     n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path, name = fresh_path(spark, "chunks"), f"loomline_chunks_{uuid.uuid4().hex}"
     packed = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(pack, SCHEMA)
-    packed.withColumn("chunk", F.monotonically_increasing_id()).write.bucketBy(n_buckets, "chunk").option("compression", "none").option("path", path).format("parquet").saveAsTable(name)
+    with small_batches(spark):
+        packed.withColumn("chunk", F.monotonically_increasing_id()).write.bucketBy(n_buckets, "chunk").option("compression", "none").option("path", path).format("parquet").saveAsTable(name)
     return ChunkTable(spark.table(name), name, path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512):
+    """Inside, texts go to Python workers in batches of so many rows; for jobs that run before the block ends."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def words(text: Column) -> Column:
     """The words of a text (null: none)."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[ \t-\r]+"), "")

@@ -46,7 +46,7 @@ class Job:
     tokens: Bytes | Words
     earlier: bool
     solve: Callable
-    entries_per_bucket: int = 500_000
+    entries_per_bucket: int = 200_000
     hot_contents: int = 256
     hot_in_chunk: int = 32
     shard_bytes: int = 1 << 20
