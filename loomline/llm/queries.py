@@ -65,9 +65,15 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash_dedup import classes
+
+    return classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans, "op2_suffix_dedup": op2_suffix_dedup, "op3_mixing": op3_mixing, "op4_quality_rules": op4_quality_rules,
-    "op5_url_filters": op5_url_filters, "op6_automata_dedup": op6_automata_dedup, "op7_topk": op7_topk, "op8_bpe": op8_bpe, "op9_warc": op9_warc,
+    "op5_url_filters": op5_url_filters, "op6_automata_dedup": op6_automata_dedup, "op7_topk": op7_topk, "op8_bpe": op8_bpe, "op9_warc": op9_warc, "op10_minhash_dedup": op10_minhash_dedup,
 }
 
 OP4_SQL = r"""
