@@ -40,4 +40,6 @@ def components(edges: DataFrame) -> DataFrame:
         before, mark = mark, _mark(now)
         if tuple(before) == tuple(mark):
             break
-    return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+    out = now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+    out._scratch_path = now._scratch_path
+    return out

@@ -11,11 +11,12 @@ candidates (at the threshold 0.8, 32 bands of 7 find 99.9 % of pairs).
 
 Texts equal word by word are one node. In a band's bucket, pairs are not all
 made: a pivot, the member that most others meet, is verified against the
-others by their exact similarity. Links join nodes to components; only where a
-bucket still has several components do further pivots, twice as many each round
-and from its smaller components first, meet the members of other components,
-until every two members are linked, in one component, or compared. So no link is
-lost, and a bucket of n copies of one text costs n comparisons.
+others by their exact similarity. Links join nodes to components, and later bands
+ask only for what earlier ones haven't joined. Where a bucket still has several
+components, further pivots, twice as many each round and from its smaller
+components first, meet the members of other components, until every two members
+are in one component or compared. So no link is lost, and a bucket of n copies of
+one text costs n comparisons; k members without a link cost k times n.
 
 Defined results: a null or blank text has no shingles and is a class of its own;
 texts of one to four words have one shingle, the whole text; repeated rows are
@@ -37,6 +38,8 @@ from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 7
+#: Stars are made of the bands below each of these in turn.
+STAR_BANDS = (1, 4, 12, BANDS)
 BLOCK_BYTES = 2 << 20
 U = np.uint64
 
@@ -190,55 +193,87 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold
     with small_batches(spark):
         sketched = materialize(slim.mapInArrow(_sketch(bands, rows), "doc_id long, node binary, bands array<long>"), "sketches")
         nodes = sketched.filter("node is not null").groupBy("node").agg(F.first("bands").alias("bands"))
-        members = materialize(nodes.select("node", F.explode("bands").alias("key")), "bands")
+        members = materialize(nodes.select("node", F.posexplode("bands").alias("band", "key")), "bands")
         several = members.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("size")).filter("x <> y").select("key", "size")
-        met = materialize(members.join(several, "key"), "buckets")
+        # A shuffled join at every size: a broadcast would only ever fit small tables.
+        met = materialize(members.join(several.hint("shuffle_merge"), "key"), "buckets")
         drop_table(members)
         degree = met.groupBy("node").agg(F.sum("size").alias("degree"))
         degree = materialize(degree, "degrees")
         bodies = materialize(slim.mapInArrow(_bodies, "node binary, body binary").join(degree.select("node"), "node", "left_semi").dropDuplicates(["node"]), "bodies")
-    comp = _linked(materialize(met.join(degree, "node").select("key", "node", "degree"), "buckets"), bodies, threshold)
+    slimmed = materialize(met.join(degree.hint("shuffle_merge"), "node").select("key", "band", "node", "degree"), "buckets")
+    drop_table(met)
+    comp = _linked(slimmed, bodies, threshold)
+    drop_table(slimmed)
+    drop_table(bodies)
     own = sketched.select("doc_id", "node")
     named = own.join(comp.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("doc_id", F.coalesce("comp", "node").alias("comp"))
     per = named.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")).withColumnRenamed("comp", "c")
     return named.join(per, F.col("comp") == F.col("c"), "left").select("doc_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
 
-def _linked(met: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
-    """met (key, node, degree) -> (node, comp) of all nodes that have a link."""
+def _linked(met: DataFrame, bodies: DataFrame, threshold: float, groups: tuple[int, ...] = STAR_BANDS) -> DataFrame:
+    """met (key, band, node, degree) -> (node, comp) of all nodes that have a link.
+
+    First stars, a few bands at a time, so that later bands only ask for what earlier ones haven't linked; then the buckets that are still open.
+    """
     spark = met.sparkSession
-    comp = spark.createDataFrame([], "node binary, comp binary")
-    links = spark.createDataFrame([], "a binary, b binary")
-    open_, pivots, checked = met.withColumn("comp", F.col("node")).withColumn("done", F.lit(False)), 1, None
-    while True:
-        # Pivots: of members that haven't been one, those of the bucket's smaller components; at first the one that most others meet.
-        if pivots == 1:
-            chosen = open_.groupBy("key").agg(F.max(F.struct("degree", "node")).alias("p")).select("key", F.col("p.node").alias("pivot"), F.col("p.node").alias("pivot_comp"))
-        else:
-            size = open_.groupBy("key", "comp").agg(F.count("*").alias("of_comp"))
-            rank = F.row_number().over(Window.partitionBy("key").orderBy("of_comp", "comp", F.desc("degree"), "node"))
-            chosen = open_.filter("not done").join(size, ["key", "comp"]).withColumn("r", rank).filter(F.col("r") <= pivots).select("key", F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
-        chosen = materialize(chosen, "pivots")
-        pairs = open_.join(chosen, "key").filter((F.col("comp") != F.col("pivot_comp")) & (F.col("node") != F.col("pivot")))
+    state = {"checked": None, "comp": spark.createDataFrame([], "node binary, comp binary")}
+    text = lambda side: bodies.select(F.col("node").alias(side), F.col("body").alias(f"{side}_body"))
+
+    def with_comp(members: DataFrame) -> DataFrame:
+        return members.join(state["comp"], "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+    def compare(members: DataFrame, chosen: DataFrame) -> None:
+        """Verify pivots against the members of their buckets in other components; link what is similar."""
+        pairs = members.join(chosen, (members["key"] == chosen["k"]) & (members["comp"] != chosen["pivot_comp"]))
         pairs = pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        text = lambda side: bodies.select(F.col("node").alias(side), F.col("body").alias(f"{side}_body"))
+        if state["checked"] is not None:
+            pairs = pairs.join(state["checked"].select("a", "b"), ["a", "b"], "left_anti")
         with small_batches(spark):
             found = materialize(pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_body", "b_body").mapInArrow(_verify(threshold), "a binary, b binary, similar boolean"), "verified")
-        checked = found if checked is None else materialize(checked.unionByName(found), "verified")
-        links = checked.filter("similar").select("a", "b")
-        comp = components(links)
-        # What stays open: buckets of several components of which at least two hold members that were no pivot yet.
-        now = open_.drop("comp").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        now = now.join(chosen.select("key", F.col("pivot").alias("node"), F.lit(True).alias("was")), ["key", "node"], "left").withColumn("done", F.col("done") | F.coalesce("was", F.lit(False))).drop("was")
-        still = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.when(~F.col("done"), F.col("comp"))).alias("x"), F.max(F.when(~F.col("done"), F.col("comp"))).alias("y"))
-        # A bucket is settled if one component is left, or all that was never a pivot lies in one.
-        still = still.filter((F.col("lo") != F.col("hi")) & (F.col("x") != F.col("y"))).select("key")
-        open_ = materialize(now.join(still, "key").select("key", "node", "degree", "comp", "done"), "open")
-        if not open_.take(1):
-            return comp
-        pivots *= 2
+        before = state["checked"]
+        state["checked"] = found if before is None else materialize(before.unionByName(found), "verified")
+        if before is not None:
+            drop_table(before)
+            drop_table(found)
+        old, new = state["comp"], components(state["checked"].filter("similar").select("a", "b"))
+        state["comp"] = materialize(new, "components")
+        drop_table(new)
+        drop_table(old)
+
+    used, low = None, 0
+    for high in groups:
+        members = materialize(with_comp(met.filter((F.col("band") >= low) & (F.col("band") < high)).select("key", "node", "degree")), "members")
+        ranked = members.withColumn("new", F.lit(True)) if used is None else members.join(used.withColumn("was", F.lit(True)), "node", "left").withColumn("new", F.col("was").isNull())
+        # The member that most others meet, and that was no pivot in earlier bands.
+        chosen = materialize(ranked.groupBy("key").agg(F.max(F.struct("new", "degree", "node", "comp")).alias("p")).select(F.col("key").alias("k"), F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "pivots")
+        compare(members, chosen)
+        drop_table(members)
+        pivots = chosen.select(F.col("pivot").alias("node"))
+        used = (pivots if used is None else used.union(pivots)).distinct()
+        low = high
+    open_, n = met.select("key", "node", "degree", F.lit(False).alias("done")), 1
+    while True:
+        # Open are buckets of several components of which at least two hold members that were no pivot.
+        now = with_comp(open_)
+        undone = F.when(~F.col("done"), F.col("comp"))
+        still = now.groupBy("key").agg(F.min(undone).alias("x"), F.max(undone).alias("y")).filter("x <> y").select("key")
+        after = materialize(now.join(still, "key").select("key", "node", "degree", "comp", "done"), "open")
+        if n > 1:
+            drop_table(open_)
+        if not after.take(1):
+            return state["comp"]
+        size = after.groupBy("key", "comp").agg(F.count("*").alias("of_comp"))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("of_comp", "comp", F.desc("degree"), "node"))
+        chosen = after.filter("not done").join(size, ["key", "comp"]).withColumn("r", rank).filter(F.col("r") <= n).select(F.col("key").alias("k"), F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
+        chosen = materialize(chosen, "pivots")
+        compare(after, chosen)
+        turned = chosen.select(F.col("k").alias("key"), F.col("pivot").alias("node"), F.lit(True).alias("was"))
+        open_ = materialize(after.drop("comp").join(turned, ["key", "node"], "left").withColumn("done", F.col("done") | F.coalesce("was", F.lit(False))).drop("was"), "open")
+        drop_table(after)
+        drop_table(chosen)
+        n *= 2
 
 
 def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
