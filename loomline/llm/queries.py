@@ -109,9 +109,9 @@ win AS (
 hit AS (
   SELECT r, i FROM (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM win) WHERE least < doc_id OR (doc_id IS NULL AND least IS NOT NULL)),
 gone AS (
-  SELECT r, list(DISTINCT i + k) AS at FROM hit, range(13) AS o(k) GROUP BY r),
+  SELECT r, list(DISTINCT i + k) AS places FROM hit, range(13) AS o(k) GROUP BY r),
 k AS (
-  SELECT doc_id, len(ws) AS n, CASE WHEN at IS NULL THEN ws ELSE list_filter(ws, lambda x, j: NOT list_contains(at, j)) END AS kept FROM w LEFT JOIN gone USING (r))
+  SELECT doc_id, len(ws) AS n, CASE WHEN places IS NULL THEN ws ELSE list_filter(ws, lambda x, j: NOT list_contains(places, j)) END AS kept FROM w LEFT JOIN gone USING (r))
 SELECT doc_id, n::BIGINT AS n_words, (n - len(kept))::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k
 """
 
