@@ -1,7 +1,9 @@
 """Secret scans: pattern candidates, then a random forest that removes false positives.
 
-Candidates are known key formats, values behind an assignment, and long mixed
-runs of key characters. Each gets features of its length, character transitions
+Candidates are known key formats, values behind an assignment, long mixed runs
+of key characters and the parts between the = in them, and private-key blocks.
+Candidates may overlap and each is judged; what is judged a secret is redacted,
+of NAME=value the value alone. Each gets features of its length, character transitions
 (class changes, entropy, bigrams against ordinary words), dictionary coverage,
 path and neighbouring words; a forest trained from labelled findings says how
 likely it is a secret. Training is on the driver, on at most `MAX_FINDINGS`
@@ -32,12 +34,17 @@ from pyspark.sql import functions as F
 MAX_FINDINGS = 20_000
 MARK = "<SECRET>"
 RUN = re.compile(r"[A-Za-z0-9_+/=\-]{16,}")
-ASSIGNED = re.compile(r"[:=][ \t]*[\"'`]?([^\s\"'`,;<>()]{8,})")
+ASSIGN = re.compile(r"[:=][ \t]*[\"'`]?")
+VALUE = re.compile(r"[^\s\"'`,;<>()]{8,}")
+PART = re.compile(r"[^=]+=*")
+NAME = re.compile(r"[A-Za-z0-9_.\-]+=+")
 BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
 KEYWORD = re.compile(r"(?i)(passw(?:or)?d|pwd|secret|token|api[_\- ]?key|access[_\- ]?key|private[_\- ]?key|auth|credential|bearer)")
 HASHED = re.compile(r"(?i)\b(commit|sha\d*|md5|checksum|digest|etag|uuid|guid|revision|hash|build|version|isbn|doi)\b")
 FAKE = re.compile(r"(?i)(example|sample|dummy|placeholder|your|changeme|xxxx|todo|redacted|test|lorem|foobar|insert|null|none)")
-FORMAT = re.compile(r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[0-9A-Za-z\-]{10,}|sk[-_](live|test)?[-_]?[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_\-]{35}|eyJ[A-Za-z0-9_\-]{10,}.*|glpat-[A-Za-z0-9_\-]{20,})$")
+FORMAT = re.compile(r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[0-9A-Za-z\-]{10,}|sk[-_](live|test)?[-_]?[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_\-]{35}|eyJ[A-Za-z0-9_\-]{10,}.*|glpat-[A-Za-z0-9_\-]{20,}|-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*)$")
+INNER = re.compile(r"(?<![A-Za-z0-9])(?:A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[0-9A-Za-z\-]{10,}|sk[-_](?:live|test)?[-_]?[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_\-]{35}(?![0-9A-Za-z_\-])|eyJ[A-Za-z0-9_\-]{10,}(?:\.[A-Za-z0-9_\-]+)*|glpat-[A-Za-z0-9_\-]{20,})")
+DOTTED = re.compile(r"[A-Za-z0-9_+/=.\-]*")
 UUID = re.compile(r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
 QUIET_PATH = re.compile(r"(?i)(test|example|fixture|mock|docs?/|readme|vendor|node_modules)")
 DICTIONARY = frozenset(
@@ -89,22 +96,50 @@ def features(value: str, before: str, after: str, path: str) -> list[float]:
     ]
 
 
+def _mixed(value: str) -> bool:
+    return any(c in value for c in "0123456789") and not value.isdigit()
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans that may be secrets, by start, without overlaps."""
-    spans = [m.span() for m in BLOCK.finditer(text)] if "-----BEGIN" in text else []
+    """Spans that may be secrets, by start, of equal starts the longest first; spans may overlap."""
+    spans = {m.span() for m in BLOCK.finditer(text)} if "-----BEGIN" in text else set()
+    known = 0
     for m in RUN.finditer(text):
-        v = m.group()
-        if any(c in v for c in "0123456789") and not v.isdigit():
-            spans.append(m.span())
+        a, v = m.start(), m.group()
+        if _mixed(v):
+            spans.add(m.span())
+            if "=" in v.rstrip("="):
+                spans |= {(a + k.start(), a + k.end()) for k in PART.finditer(v) if len(k.group()) >= 16 and _mixed(k.group())}
+        if m.end() > known:
+            at, stop = max(a, known), DOTTED.match(text, m.end()).end() if "eyJ" in v else m.end()
+            while k := INNER.search(text, at, stop):
+                spans.add(k.span())
+                at = known = k.end()
+            known = max(known, stop)
     if "=" in text or ":" in text:
-        for m in ASSIGNED.finditer(text):
-            if KEYWORD.search(text[max(0, m.start() - 32) : m.start()]) and not m.group(1).startswith("//"):
-                spans.append(m.span(1))
-    spans.sort(key=lambda s: (s[0], -s[1]))
-    out: list[tuple[int, int]] = []
-    for s in spans:
-        if not out or s[0] >= out[-1][1]:
-            out.append(s)
+        at = 0
+        while m := ASSIGN.search(text, at):
+            at = m.end()
+            if KEYWORD.search(text[max(0, m.start() - 32) : m.start()]) and not text.startswith("//", at) and (v := VALUE.match(text, at)):
+                spans.add(v.span())
+                at = v.end()
+    return sorted(spans, key=lambda s: (s[0], -s[1]))
+
+
+def secrets(text: str, spans: list[tuple[int, int]], scores: np.ndarray, threshold: float) -> list[tuple[int, int, float]]:
+    """The spans that are judged secrets, without overlaps: of NAME=value and its value the value, of others the union."""
+    found = [(a, b, float(p)) for (a, b), p in zip(spans, scores, strict=True) if p >= threshold]
+    last: dict[int, int] = {}  # start of the latest-starting span by end
+    out: list[tuple[int, int, float]] = []
+    for a, b, _ in found:
+        last[b] = a
+    for a, b, p in found:
+        if last[b] > a and NAME.fullmatch(text, a, last[b]):
+            continue
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), max(p, out[-1][2]))
+        else:
+            out.append((a, b, p))
     return out
 
 
@@ -177,8 +212,12 @@ def default_findings(n: int = 6000, seed: int = 7) -> list[tuple[str, str, str,
     hexed = lambda k: from_("0123456789abcdef", k)
     base = letters + letters.upper() + "0123456789"
     prose = lambda k: " ".join(r.choice(pool) if r.random() < 0.5 else "".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(k)) + " "
-    names = ("token", "api_key", "secret", "password", "access_key", "apikey", "auth_token", "client_secret", "SECRET_KEY", "pwd", "credential", "API key")
+    names = ("token", "api_key", "secret", "password", "access_key", "apikey", "auth_token", "client_secret", "SECRET_KEY", "pwd", "credential", "API key", "GITHUB_TOKEN", "DB_PASSWORD", "AWS_SECRET_ACCESS_KEY")
+    plain = ("AWS_KEY=", "KEY=", "key: ", "GH=", "export X=")  # names without a keyword
     paths = ("src/app.py", "config/settings.yml", ".env", "deploy/main.tf", "src0", "web", "forum/12", "tests/test_app.py", "docs/readme.md", "")
+    pem = lambda kind, body: f"-----BEGIN {kind}PRIVATE KEY-----\n{body}\n-----END {kind}PRIVATE KEY-----"
+    lines = lambda v: "\n".join(v[i : i + 64] for i in range(0, len(v), 64))
+    kinds = ("", "RSA ", "EC ", "OPENSSH ")
     junk = ("", "###", "%%%", "&&&", "!!", ",", ".")
     out = []
     for k in range(n):
@@ -187,13 +226,14 @@ def default_findings(n: int = 6000, seed: int = 7) -> list[tuple[str, str, str,
             value = r.choice([
                 lambda: hexed(r.choice((32, 40, 40, 48, 64))), lambda: from_(base, r.randint(20, 64)), lambda: "AKIA" + from_(letters.upper() + "0123456789", 16), lambda: "ghp_" + from_(base, 36),
                 lambda: f"xoxb-{from_('0123456789', 11)}-{from_(base, 24)}", lambda: "sk_live_" + from_(base, 24), lambda: from_(base + "+/", 40), lambda: "eyJ" + from_(base + "_-", r.randint(40, 120)), lambda: from_(base + "!@#%^*_-", r.randint(10, 20)), lambda: "AIza" + from_(base + "_-", 35),
+                lambda: pem(r.choice(kinds), lines("M" + from_(base + "+/", r.choice((120, 160, 400, 840, 1200, 1600, 2400))) + r.choice(("", "=", "==")))),
             ])()
             known = bool(FORMAT.match(value))
             sign, quote = r.choice((" = ", "=", ": ", ":")), r.choice(('"', "'", ""))
-            before = prose(r.randint(0, 6)) + (r.choice(names) + sign + quote if not known or r.random() < 0.6 else "")
+            before = prose(r.randint(0, 6)) + (r.choice(names) + sign + quote if not known or r.random() < 0.6 else r.choice(("", "", *plain)))
             after = (quote if before.endswith(quote) else "") + r.choice(junk) + " " + prose(r.randint(0, 6))
         else:
-            kind = r.randrange(11)
+            kind = r.randrange(13)
             named = r.choice(names) + r.choice((" = ", "=", ": ")) + r.choice(('"', ""))
             before = prose(r.randint(0, 6))
             if kind == 0:
@@ -217,6 +257,11 @@ def default_findings(n: int = 6000, seed: int = 7) -> list[tuple[str, str, str,
                 value = "".join(r.choice(syllables) for _ in range(r.randint(7, 14))) + r.choice(("1", "2", "-2", "_3"))
             elif kind == 9:
                 value, before = hexed(r.choice((32, 40, 40))), before + r.choice(("", "see ", "at ", "build ", "version "))
+            elif kind == 10:
+                value, before = hexed(r.choice((32, 40, 40))), before + r.choice(("id=", "ref=", "node=", "trace_id=", "key=", "v=", "commit=", "sha="))
+            elif kind == 11:
+                value = pem(r.choice(kinds), r.choice(("...", "your key here", "<insert the private key here>", "\n".join(prose(r.randint(4, 9)).strip() for _ in range(r.randint(1, 12))), "xxxx" * r.randint(4, 200), "REDACTED")))
+                before += r.choice(("", named))
             else:
                 value, before = r.choice(pool) + r.choice(pool), before + r.choice(("password: ", "token = ", "secret: ", "auth: ", "key = "))
             after = r.choice(("", '"')) + " " + prose(r.randint(0, 6))
@@ -249,12 +294,11 @@ def judged(text: str, path: str, forest: Forest) -> tuple[list[tuple[int, int]],
     return spans, forest.predict(x)
 
 
-def cut(text: str, spans: list[tuple[int, int]], scores: np.ndarray, threshold: float, mark: str) -> str:
+def cut(text: str, found: list[tuple[int, int, float]], mark: str) -> str:
     parts, at = [], 0
-    for (a, b), p in zip(spans, scores, strict=True):
-        if p >= threshold:
-            parts += [text[at:a], mark]
-            at = b
+    for a, b, _ in found:
+        parts += [text[at:a], mark]
+        at = b
     return "".join([*parts, text[at:]])
 
 
@@ -268,8 +312,8 @@ def scan(df: DataFrame, text: str = "text", path: str = "source", forest: Forest
         rows = []
         for t, p in zip(texts, paths, strict=True):
             spans, scores = judged(t or "", p or "", model.value)
-            found = [{"start": a, "end": b, "probability": float(s)} for (a, b), s in zip(spans, scores, strict=True) if s >= threshold]
-            rows.append([len(spans), len(found), found, *([None if t is None else cut(t, spans, scores, threshold, mark)] if redacted else [])])
+            found = secrets(t or "", spans, scores, threshold)
+            rows.append([len(spans), len(found), [dict(zip(("start", "end", "probability"), x, strict=True)) for x in found], *([None if t is None else cut(t, found, mark)] if redacted else [])])
         return pd.DataFrame(rows, columns=["n_candidates", "n_secrets", "spans", *(["redacted"] if redacted else [])])
 
     found = df.withColumn(out, run(F.col(text), F.col(path).cast("string")))
