@@ -63,7 +63,7 @@ def _bigrams() -> dict[str, float]:
 def _coverage(value: str) -> float:
     """Share of the letters that dictionary words of four letters and more cover, longest first from the left."""
     low, i, hit = value.lower(), 0, 0
-    n = min(len(low), 200)
+    n = len(low)
     while i < n:
         for k in range(min(11, n - i), 3, -1):
             if low[i : i + k] in DICTIONARY:
@@ -76,9 +76,8 @@ def _coverage(value: str) -> float:
 
 
 def features(value: str, before: str, after: str, path: str) -> list[float]:
-    """What the forest reads of a candidate: itself, 48 characters on either side, and its path."""
-    v = value[:400]
-    n = len(v)
+    """What the forest reads of a candidate: all of itself, 48 characters on either side, and its path."""
+    v, n = value, len(value)
     counts = Counter(v)
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "o" for c in v]
@@ -226,6 +225,7 @@ def default_findings(n: int = 6000, seed: int = 7) -> list[tuple[str, str, str,
             value = r.choice([
                 lambda: hexed(r.choice((32, 40, 40, 48, 64))), lambda: from_(base, r.randint(20, 64)), lambda: "AKIA" + from_(letters.upper() + "0123456789", 16), lambda: "ghp_" + from_(base, 36),
                 lambda: f"xoxb-{from_('0123456789', 11)}-{from_(base, 24)}", lambda: "sk_live_" + from_(base, 24), lambda: from_(base + "+/", 40), lambda: "eyJ" + from_(base + "_-", r.randint(40, 120)), lambda: from_(base + "!@#%^*_-", r.randint(10, 20)), lambda: "AIza" + from_(base + "_-", 35),
+                lambda: from_(base + r.choice(("+/", "_-")), int(2 ** r.uniform(6, 12))), lambda: "eyJ" + from_(base + "_-", int(2 ** r.uniform(7, 12))),
                 lambda: pem(r.choice(kinds), lines("M" + from_(base + "+/", r.choice((120, 160, 400, 840, 1200, 1600, 2400))) + r.choice(("", "=", "==")))),
             ])()
             known = bool(FORMAT.match(value))
@@ -233,7 +233,7 @@ def default_findings(n: int = 6000, seed: int = 7) -> list[tuple[str, str, str,
             before = prose(r.randint(0, 6)) + (r.choice(names) + sign + quote if not known or r.random() < 0.6 else r.choice(("", "", *plain)))
             after = (quote if before.endswith(quote) else "") + r.choice(junk) + " " + prose(r.randint(0, 6))
         else:
-            kind = r.randrange(13)
+            kind = r.randrange(14)
             named = r.choice(names) + r.choice((" = ", "=", ": ")) + r.choice(('"', ""))
             before = prose(r.randint(0, 6))
             if kind == 0:
@@ -259,6 +259,8 @@ def default_findings(n: int = 6000, seed: int = 7) -> list[tuple[str, str, str,
                 value, before = hexed(r.choice((32, 40, 40))), before + r.choice(("", "see ", "at ", "build ", "version "))
             elif kind == 10:
                 value, before = hexed(r.choice((32, 40, 40))), before + r.choice(("id=", "ref=", "node=", "trace_id=", "key=", "v=", "commit=", "sha="))
+            elif kind == 12:
+                value, before = from_(base + "+/", int(2 ** r.uniform(8, 13))) + r.choice(("", "=", "==")), before + r.choice(("data:image/png;base64,", "base64,", "src=", "content: ", "", "data = \"", "body="))
             elif kind == 11:
                 value = pem(r.choice(kinds), r.choice(("...", "your key here", "<insert the private key here>", "\n".join(prose(r.randint(4, 9)).strip() for _ in range(r.randint(1, 12))), "xxxx" * r.randint(4, 200), "REDACTED")))
                 before += r.choice(("", named))

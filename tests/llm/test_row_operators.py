@@ -50,6 +50,23 @@ def test_scan_splits_assignments_and_judges_key_blocks(spark):
         assert out[k] == text
 
 
+def test_features_read_the_whole_candidate():
+    r = np.random.default_rng(9)
+    base = lambda k: "".join(r.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), k))
+    name = secret_scans.FEATURES.index
+    blob = base(100_000)
+    whole, part = (secret_scans.features(v, "", "", "") for v in (blob, blob[:400]))
+    assert whole[name("length")] == 100_000 and part[name("length")] == 400 and whole[name("log_length")] == np.log2(100_000)
+    assert secret_scans.features(base(400) + "-" * 400, "", "", "")[name("other")] == 0.5
+    assert secret_scans.features("9" * 200 + "password" * 25, "", "", "")[name("dictionary")] == 0.5
+    forest = secret_scans.train()
+    for k in (500, 3000, 100_000):
+        v = base(k)
+        for text, want in ((f"data:image/png;base64,{v} x", []), (f'token = "{v}"', [v]), (f"Bearer eyJ{v} x", ["eyJ" + v])):
+            spans, scores = secret_scans.judged(text, "web", forest)
+            assert [text[a:b] for a, b, _ in secret_scans.secrets(text, spans, scores, 0.5)] == want, (k, text[:30])
+
+
 def test_scan_equals_row_by_row(docs):
     forest = secret_scans.train()
     want = {r.doc_id: len(secret_scans.judged(r.text, r.source, forest)[0]) for r in docs.collect()}
