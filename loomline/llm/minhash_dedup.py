@@ -30,10 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from .anchors import BYTE_VALUES, Prefix, gram_hashes, mix, word_spans
 from .chunks import expand, squeeze
-from .common import drop_table, materialize, small_batches
+from .common import WORD, drop_table, materialize, small_batches
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -44,14 +45,18 @@ BLOCK_BYTES = 2 << 20
 U = np.uint64
 
 
-def shingles(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = SHINGLE):
-    """For texts one after another: text, hash and weight of each distinct shingle, by text; and two hashes of each text's words, with their number."""
-    n = len(starts)
+def _word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """The hash of every word, each text's first word and last + 1, and two hashes of each text's words."""
     begin, end = word_spans(raw, ends)
     values = Prefix(BYTE_VALUES[raw]).hash(begin, end) if len(raw) else np.zeros(0, U)
     first, stop = np.searchsorted(begin, starts), np.searchsorted(begin, ends)
-    whole = Prefix(values).hash(first, stop)
-    other = Prefix(mix(values ^ U(0x5851F42D4C957F2D))).hash(first, stop)
+    return values, first, stop, Prefix(values).hash(first, stop), Prefix(mix(values ^ U(0x5851F42D4C957F2D))).hash(first, stop)
+
+
+def shingles(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = SHINGLE):
+    """For texts one after another: text, hash and weight of each distinct shingle, by text; and two hashes of each text's words, with their number."""
+    n = len(starts)
+    values, first, stop, whole, other = _word_hashes(raw, starts, ends)
     grams = gram_hashes(values, size) if len(values) >= size else np.zeros(0, U)
     count = np.maximum(stop - first - size + 1, 0)
     of = np.repeat(np.arange(n), count)
@@ -186,8 +191,18 @@ def _verify(threshold: float):
     return verify
 
 
-def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per row of df: doc_id, class_id (the least doc_id of its class), class_size (documents)."""
+@F.arrow_udf(BinaryType())
+def _node_of(text: pa.Array) -> pa.Array:
+    """The node of each text, as _sketch names it; null without a word."""
+    out = []
+    for _, _, raw, starts, ends in _blocks(text):
+        _, first, stop, whole, other = _word_hashes(raw, starts, ends)
+        out += [v if s else None for v, s in zip(_nodes(whole, other).to_pylist(), (stop > first).tolist(), strict=True)]
+    return pa.array(out, pa.binary())
+
+
+def _compared(df: DataFrame, doc_id: str, text: str, threshold: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of every row, node null without a word; and (node, comp) of the nodes that have a link."""
     spark = df.sparkSession
     slim = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     with small_batches(spark):
@@ -206,7 +221,12 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold
     comp = _linked(slimmed, bodies, threshold)
     drop_table(slimmed)
     drop_table(bodies)
-    own = sketched.select("doc_id", "node")
+    return sketched.select("doc_id", "node"), comp
+
+
+def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row per row of df: doc_id, class_id (the least doc_id of its class), class_size (documents)."""
+    own, comp = _compared(df, doc_id, text, threshold, bands, rows)
     named = own.join(comp.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("doc_id", F.coalesce("comp", "node").alias("comp"))
     per = named.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")).withColumnRenamed("comp", "c")
     return named.join(per, F.col("comp") == F.col("c"), "left").select("doc_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
@@ -276,9 +296,16 @@ def _linked(met: DataFrame, bodies: DataFrame, threshold: float, groups: tuple[i
         n *= 2
 
 
-def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """df with one document of each class, the one of least id (of equal rows one), all columns as they were."""
-    found = classes(df, doc_id, text, **options)
-    keep = found.filter("doc_id <=> class_id").select(F.col("doc_id").alias("__d")).distinct()
-    rows = df.join(keep, df[doc_id].eqNullSafe(F.col("__d")), "left_semi")
-    return rows.dropDuplicates([doc_id]) if df.columns else rows
+def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """df with one document of each class, the one of least id (of equal ids the least node, of equal rows one), all columns as they were.
+
+    A row is known by its id and its node, so rows that share an id, or have none, stand for their own class. Rows without a word all stay.
+    """
+    own, comp = _compared(df, doc_id, text, threshold, bands, rows)
+    least = own.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("d"))
+    named = least.join(comp.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("d", "node", F.coalesce("comp", "node").alias("comp"))
+    keep = named.groupBy("comp").agg(F.min(F.struct("d", "node")).alias("p")).select(F.col("p.d.doc_id").alias("__d"), F.col("p.node").alias("__n"))
+    has_word = F.coalesce(F.col(text).cast("string").rlike(WORD), F.lit(False))
+    full = df.filter(has_word).withColumn("__node", _node_of(F.col(text).cast("string")))
+    rows_ = full.join(keep, (F.col("__node") == F.col("__n")) & full[doc_id].cast("long").eqNullSafe(F.col("__d")), "left_semi")
+    return rows_.dropDuplicates([doc_id, "__node"]).drop("__node").unionByName(df.filter(~has_word))

@@ -89,3 +89,24 @@ def test_representatives_and_components(spark, odd, empty):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 202), (202, 200)]
     got = {x.node: x.comp for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)} | {k: 200 for k in (200, 201, 202)}
+
+
+def test_representatives_by_row_not_by_id(spark):
+    text = lambda k: " ".join(f"t{k}w{j}" for j in range(60))
+    rows = [(None, text(1), "a"), (None, text(2), "b"), (None, text(2) + " tail", "c"), (5, text(3), "d"), (5, text(4), "e"), (6, text(5), "f"), (None, text(5) + " tail", "g"), (7, text(5), "h"), (8, text(6), "i"), (8, text(6), "i"), (None, None, "j"), (None, " ", "k"), (8, "", "l")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    got = near.representatives(df)
+    assert got.columns == df.columns
+    kept = sorted(r.name for r in got.collect())
+    assert "".join(kept) in ("abdefijkl", "acdefijkl")
+
+
+def test_pipeline_stage_keeps_one_row_of_each_class(spark, docs):
+    import corpus_pipeline
+
+    # Every tenth id is missing, every hundredth stands on two texts.
+    some = docs.selectExpr("if(doc_id % 10 = 3, null, if(doc_id % 100 = 51, doc_id - 1, doc_id)) AS doc_id", "text", "lang", "source", "n_chars")
+    got = corpus_pipeline.near_dedup(spark, some, "")
+    data = [(k, x.text) for k, x in enumerate(some.collect())]
+    classes = {least: n for (_, least, n) in brute_classes(data)}
+    assert got.columns == docs.columns and got.count() == len(classes)
