@@ -1,6 +1,8 @@
 """URL filters: host and path rules first, then a path-template tree per host.
 
-Below each host the path's segments are walked level by level. A node whose
+Below each host the path's segments are walked level by level, to the last one
+of the longest path; a path that is alone in its node ends there, as all its
+further labels are `~`. A node whose
 children are many and seldom repeat has its next segment generalised into `*`.
 Other children are compared with their siblings: a branch whose labelled share
 of bad pages can't be told from its siblings' (two-proportion z-test) merges with
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import string
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +37,6 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 
 @dataclass(frozen=True)
 class TreeOptions:
-    max_depth: int = 3  # deeper segments stay together as the last one
     min_children: int = 8  # fewer are never generalised
     max_repeats: float = 4.0  # rows a child at most, on average, for a variable segment
     z: float = 2.58
@@ -65,12 +67,14 @@ def templates(pages: DataFrame, options: TreeOptions = TreeOptions()) -> DataFra
     """pages (host, path, bad: boolean or null) -> one row per (host, path) with its template, the template's purity and whether it is rejected."""
     o = options
     paths = pages.groupBy("host", "path").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.count_if("bad").alias("bad"))
-    segments = F.filter(F.split("path", "/", o.max_depth + 1), lambda s: s != "")
-    state = materialize(paths.select("host", "path", "n", "labelled", "bad", segments.alias("segs"), F.lit("").alias("node")), "url-paths")
-    for depth in range(o.max_depth):
-        here = state.withColumn("seg", F.get("segs", F.lit(depth)))
-        children = here.filter(F.col("seg").isNotNull()).groupBy("host", "node", "seg").agg(F.sum("n").alias("n"), F.sum("labelled").alias("m"), F.sum("bad").alias("b"))
-        nodes = children.groupBy("host", "node").agg(F.count("*").alias("kids"), F.sum("n").alias("rows"), F.sum("m").alias("all_m"), F.sum("b").alias("all_b"))
+    segments = F.filter(F.split("path", "/"), lambda s: s != "")
+    paths = paths.select("host", "path", "n", "labelled", "bad", segments.alias("segs"), F.lit("").alias("node")).withColumn("open", F.size("segs") > 0)
+    # A table for each level, of the paths that reach it.
+    levels, depth = [materialize(paths, "url-paths")], 0
+    while (here := levels[-1].filter("open")).take(1):
+        here = here.withColumn("seg", F.get("segs", F.lit(depth)))
+        children = here.groupBy("host", "node", "seg").agg(F.count("*").alias("paths"), F.sum("n").alias("n"), F.sum("labelled").alias("m"), F.sum("bad").alias("b"))
+        nodes = children.groupBy("host", "node").agg(F.count("*").alias("kids"), F.sum("paths").alias("all_paths"), F.sum("n").alias("rows"), F.sum("m").alias("all_m"), F.sum("b").alias("all_b"))
         joined = children.join(nodes, ["host", "node"])
         variable = (F.col("kids") >= o.min_children) & (F.col("rows") <= F.col("kids") * o.max_repeats)
         m1, m2 = F.col("m"), F.col("all_m") - F.col("m")
@@ -79,11 +83,17 @@ def templates(pages: DataFrame, options: TreeOptions = TreeOptions()) -> DataFra
         gap = F.abs(F.try_divide(F.col("b"), m1) - F.try_divide(F.col("all_b") - F.col("b"), m2))
         differs = F.coalesce(gap > o.z * error, F.lit(False))
         label = F.when(variable, F.lit("*")).when(differs, F.col("seg")).otherwise(F.lit("~"))
-        labels = joined.select(F.col("host").alias("h"), F.col("node").alias("nd"), F.col("seg").alias("sg"), label.alias("label"))
+        labels = joined.select(F.col("host").alias("h"), F.col("node").alias("nd"), F.col("seg").alias("sg"), label.alias("label"), (F.col("all_paths") == 1).alias("alone"))
         match = (F.col("host") == F.col("h")) & (F.col("node") == F.col("nd")) & (F.col("seg") == F.col("sg"))
-        walked = here.join(labels, match, "left").select("host", "path", "n", "labelled", "bad", "segs", F.when(F.col("label").isNotNull(), F.concat("node", F.lit("/"), "label")).otherwise(F.col("node")).alias("node"))
-        before, state = state, materialize(walked, "url-paths")
-        drop_table(before)
+        left = F.size("segs") - depth
+        alone = F.col("alone") & F.lit(o.min_children > 1)
+        walked = here.join(labels, match).select("host", "path", "n", "labelled", "bad", "segs", F.when(alone, F.concat("node", F.repeat(F.lit("/~"), left))).otherwise(F.concat("node", F.lit("/"), "label")).alias("node"), (~alone & (left > 1)).alias("open"))
+        levels.append(materialize(walked, "url-paths"))
+        depth += 1
+    ended = reduce(DataFrame.unionByName, [x.filter("not open").select("host", "path", "labelled", "bad", "node") for x in levels])
+    state = materialize(ended, "url-templates")
+    for x in levels:
+        drop_table(x)
     total = state.agg(F.sum("bad").alias("b"), F.sum("labelled").alias("m")).select(F.coalesce(F.try_divide("b", "m"), F.lit(0.0)).alias("prior"))
     prior = total.first()["prior"]
     purity = (F.col("b") + o.smoothing * prior) / (F.col("m") + o.smoothing)

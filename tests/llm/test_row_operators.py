@@ -173,3 +173,14 @@ def test_templates_reject_by_purity(spark):
     got = url_filters.judge(df, bad=F.col("b")).collect()
     assert {r.verdict for r in got if r.path.startswith("/bad/")} == {"block"} and {r.verdict for r in got if not r.path.startswith("/bad/")} == {"allow"}
     assert {r.template for r in got if r.path.startswith("/bad/")} == {"h.org/bad/*"}
+
+
+def test_templates_walk_to_the_last_segment(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(f"http://h.org/shop/en/item/{k}", False) for k in range(400)] + [(f"http://h.org/shop/en/promo/{k}", True) for k in range(90)] + [(f"http://h.org//a//b/c/{k}/e/f/g/h", False) for k in range(40)] + [("http://h.org/shop/en/x/" + "d/" * 300, False)]
+    df = spark.createDataFrame([(k, u, b) for k, (u, b) in enumerate(rows)], "page_id long, url string, b boolean")
+    got = url_filters.judge(df, bad=F.col("b")).collect()
+    assert {r.verdict for r in got if "/promo/" in r.path} == {"block"} and {r.verdict for r in got if "/promo/" not in r.path} == {"allow"}
+    assert {r.template.endswith("/promo/*") for r in got if "/promo/" in r.path} == {True}
+    assert {r.template.count("/") for r in got if "//" in r.path} == {8} and {r.template.count("/") for r in got if "/d/" in r.path} == {303}
