@@ -2,11 +2,12 @@
 
 Below each host the path's segments are walked level by level, to the last one
 of the longest path; a path that is alone in its node ends there, as all its
-further labels are `~`. A node whose
-children are many and seldom repeat has its next segment generalised into `*`.
-Other children are compared with their siblings: a branch whose labelled share
-of bad pages can't be told from its siblings' (two-proportion z-test) merges with
-them into `~`; a branch that differs keeps its name. A template (host and labels
+further labels are `~`. Each child is compared with its siblings: one that
+repeats and whose labelled share of bad pages differs from its siblings'
+(two-proportion z-test) keeps its name, however many siblings it has. Where
+children are many, those that seldom repeat are generalised into `*`; where they
+are few, one that differs keeps its name too. The rest merge into `~`.
+A template (host and labels
 of the walk) is rejected when its smoothed labelled purity, (bad + a * prior) /
 (labelled + a) with the prior over all labelled pages, reaches the threshold.
 
@@ -38,7 +39,7 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 @dataclass(frozen=True)
 class TreeOptions:
     min_children: int = 8  # fewer are never generalised
-    max_repeats: float = 4.0  # rows a child at most, on average, for a variable segment
+    max_repeats: float = 4.0  # rows of a child at most for a variable segment
     z: float = 2.58
     smoothing: float = 10.0
     threshold: float = 0.5
@@ -74,9 +75,9 @@ def templates(pages: DataFrame, options: TreeOptions = TreeOptions()) -> DataFra
     while (here := levels[-1].filter("open")).take(1):
         here = here.withColumn("seg", F.get("segs", F.lit(depth)))
         children = here.groupBy("host", "node", "seg").agg(F.count("*").alias("paths"), F.sum("n").alias("n"), F.sum("labelled").alias("m"), F.sum("bad").alias("b"))
-        nodes = children.groupBy("host", "node").agg(F.count("*").alias("kids"), F.sum("paths").alias("all_paths"), F.sum("n").alias("rows"), F.sum("m").alias("all_m"), F.sum("b").alias("all_b"))
+        nodes = children.groupBy("host", "node").agg(F.count("*").alias("kids"), F.sum("paths").alias("all_paths"), F.sum("m").alias("all_m"), F.sum("b").alias("all_b"))
         joined = children.join(nodes, ["host", "node"])
-        variable = (F.col("kids") >= o.min_children) & (F.col("rows") <= F.col("kids") * o.max_repeats)
+        variable = (F.col("kids") >= o.min_children) & (F.col("n") <= o.max_repeats)
         m1, m2 = F.col("m"), F.col("all_m") - F.col("m")
         pooled = F.try_divide(F.col("all_b"), F.col("all_m"))
         error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), m1) + F.try_divide(F.lit(1.0), m2)))

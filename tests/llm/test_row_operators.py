@@ -184,3 +184,13 @@ def test_templates_walk_to_the_last_segment(spark):
     assert {r.verdict for r in got if "/promo/" in r.path} == {"block"} and {r.verdict for r in got if "/promo/" not in r.path} == {"allow"}
     assert {r.template.endswith("/promo/*") for r in got if "/promo/" in r.path} == {True}
     assert {r.template.count("/") for r in got if "//" in r.path} == {8} and {r.template.count("/") for r in got if "/d/" in r.path} == {303}
+
+
+def test_a_bad_branch_among_many_one_offs_keeps_its_name(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(f"http://h.org/u{k}/a", False) for k in range(1000)] + [(f"http://h.org/spam/{k}", True) for k in range(500)]
+    df = spark.createDataFrame([(k, u, b) for k, (u, b) in enumerate(rows)], "page_id long, url string, b boolean")
+    got = url_filters.judge(df, bad=F.col("b")).collect()
+    assert {(r.verdict, r.template) for r in got if r.path.startswith("/spam/")} == {("block", "h.org/spam/*")}
+    assert {(r.verdict, r.template.split("/")[1]) for r in got if r.path.startswith("/u")} == {("allow", "*")}
