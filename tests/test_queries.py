@@ -38,3 +38,16 @@ def test_entry_without_the_training_data_subpackage(spark, monkeypatch):
     assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(SQL)
     assert entry.entry(spark).count() > 0
     monkeypatch.delitem(sys.modules, "__spark_entry__")
+
+
+def test_segment_clean_applies_nfkc(spark, tmp_path):
+    import unicodedata
+
+    from loomline.plans import catalogue
+
+    texts = ["the e\ufb03cient \ufb01le", "\uff21\uff22\uff23 wide", "no\u00a0break", "plain words", "caf\u00e9 stays"]
+    save = lambda name, values: spark.createDataFrame([(k, v, "en", "web", len(v)) for k, v in enumerate(values)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    save("raw", texts)
+    save("normal", [unicodedata.normalize("NFKC", v) for v in texts])
+    raw, normal = ({r.doc_id: r.cleaned for r in catalogue.segment_clean(spark, f"{tmp_path}/{d}").collect()} for d in ("raw", "normal"))
+    assert raw == normal and raw[0].startswith("the efficient file") and raw[1].startswith("ABC wide")
