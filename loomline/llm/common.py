@@ -17,11 +17,13 @@ NULL_KEY = -(2**63)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or the one set here if there is none."""
+    """The folder all executors share, spark.checkpoint.dir. Where it is unset, a local session gets a temporary folder and a cluster an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="loomline-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

@@ -9,14 +9,21 @@ sum over d of 1 / sum over e of max(x_e/x_d, y_e/y_d), the Jaccard similarity
 where no shingle repeats. Registers form bands; texts with a common band are
 candidates (at the threshold 0.8, 32 bands of 7 find 99.9 % of pairs).
 
-Texts equal word by word are one node. In a band's bucket, pairs are not all
-made: a pivot, the member that most others meet, is verified against the
-others by their exact similarity. Links join nodes to components, and later bands
-ask only for what earlier ones haven't joined. Where a bucket still has several
-components, further pivots, twice as many each round and from its smaller
-components first, meet the members of other components, until every two members
-are in one component or compared. So no link is lost, and a bucket of n copies of
-one text costs n comparisons; k members without a link cost k times n.
+Texts equal word by word are one node. Of the members of a band's bucket not all pairs are
+made, and no link is lost:
+
+1. every member meets the bucket's hub, the member that most others meet;
+2. links join nodes to components, and in buckets that still hold several, each
+   component's hub meets the members of the others;
+3. what is left, members of different components neither of which was a hub, meet.
+
+A pair is only made where it can be a link. Every node carries a parity bitmap of its
+shingles: two bitmaps differ in at most as many bits as the nodes have shingles
+apart, which with the nodes' weights and counts bounds their similarity from above
+(`could_link`). The bound is part of the join's condition, so pairs that can't reach the
+threshold are never rows; those that can are compared by their exact similarity. A bucket
+of n copies of one text costs n comparisons; k members without a link cost k
+times n evaluations of the bound in the join, and rows only where it lets them pass.
 
 Defined results: a null or blank text has no shingles and is a class of its own;
 texts of one to four words have one shingle, the whole text; repeated rows are
@@ -28,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
@@ -39,8 +46,8 @@ from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 7
-#: Stars are made of the bands below each of these in turn.
-STAR_BANDS = (1, 4, 12, BANDS)
+#: Longs of a node's parity bitmap, a power of two. Texts of many more shingles than bits pass the bound and are compared.
+BITS = 16
 BLOCK_BYTES = 2 << 20
 U = np.uint64
 
@@ -132,38 +139,62 @@ def _blocks(column):
         at = stop
 
 
-def _nodes(whole: np.ndarray, other: np.ndarray) -> pa.Array:
-    pair = np.stack((whole, other), axis=1).astype(">u8")
-    return pa.array([pair[i].tobytes() for i in range(len(pair))], pa.binary())
+def _nodes(whole: np.ndarray, other: np.ndarray, some: np.ndarray | None = None) -> pa.Array:
+    """16 bytes for each text, null where `some` is false."""
+    data = np.stack((whole, other), axis=1).astype(">u8")
+    valid = None if some is None else pa.py_buffer(np.packbits(some, bitorder="little"))
+    return pa.Array.from_buffers(pa.binary(), len(whole), [valid, pa.py_buffer(np.arange(len(whole) + 1, dtype="<i4") * 16), pa.py_buffer(data)])
+
+
+def parity_bits(of: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """n x BITS: bit i is the parity of the number of a text's distinct shingles whose hash falls to i."""
+    width = BITS * 64
+    place = of * width + (hashes >> U(64 - width.bit_length() + 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=n * width) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8").reshape(n, BITS)
+
+
+def could_link(x: str, y: str, threshold: float) -> Column:
+    """Whether the similarity of x and y (structs of weight, shingles, bits) may reach the threshold.
+
+    The nodes have at least `apart` shingles apart, so x at least (apart + x.shingles - y.shingles) / 2 of its own. With u and v
+    the shares of their weights that aren't common, the similarity is at most (1 - u) (1 - v) / (1 - u v): the harmonic mean in
+    its sum is concave, so the sum is largest where all common shingles have one ratio of weights.
+    """
+    apart = " + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range(BITS))
+    u = f"greatest(0, ({apart}) + {x}.shingles - {y}.shingles) / 2.0D / {x}.weight"
+    v = f"greatest(0, ({apart}) + {y}.shingles - {x}.shingles) / 2.0D / {y}.weight"
+    return F.expr(f"(1 - {u}) * (1 - {v}) >= {threshold - 1e-6!r}D * (1 - ({u}) * ({v}))")
+
+
+SKETCH = "doc_id long, node binary, bands array<long>, weight long, shingles long, bits array<long>, body binary"
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    n, width = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(values.reshape(-1), pa.int64()))
 
 
 def _sketch(bands: int, rows: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("weight", pa.int64()), ("shingles", pa.int64()), ("bits", pa.list_(pa.int64())), ("body", pa.binary())])
 
     def sketch(batches):
         for batch in batches:
             for lo, hi, raw, starts, ends in _blocks(batch["text"]):
+                n = hi - lo
                 of, hashes, weight, whole, other, words = shingles(raw, starts, ends)
-                keys = band_keys(signatures(of, hashes, weight, hi - lo, bands * rows), bands, rows).view(np.int64)
-                some = words > 0
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(some * bands))), pa.int32()), pa.array(keys[some].reshape(-1)))
-                nodes = pa.array([v if s else None for v, s in zip(_nodes(whole, other).to_pylist(), some.tolist(), strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), nodes, lists], schema=schema)
+                keys = band_keys(signatures(of, hashes, weight, n, bands * rows), bands, rows).view(np.int64)
+                body = [squeeze(raw[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                total = np.bincount(of, weight, n).astype(np.int64)
+                columns = [_nodes(whole, other, words > 0), _lists(keys), pa.array(total), pa.array(np.bincount(of, minlength=n)), _lists(parity_bits(of, hashes, n)), pa.array(body, pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, n), *columns], schema=schema)
 
     return sketch
 
 
-def _bodies(batches):
-    schema = pa.schema([("node", pa.binary()), ("body", pa.binary())])
-    for batch in batches:
-        for _, _, raw, starts, ends in _blocks(batch["text"]):
-            _, _, _, whole, other, _ = shingles(raw, starts, ends)
-            body = [squeeze(raw[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([_nodes(whole, other), pa.array(body, pa.binary())], schema=schema)
-
-
 def _verify(threshold: float):
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similar", pa.bool_())])
+    names = ["a", "b", "a_comp", "b_comp"]
+    schema = pa.schema([*((n, pa.binary()) for n in names), ("similar", pa.bool_())])
 
     def verify(batches):
         for batch in batches:
@@ -186,7 +217,7 @@ def _verify(threshold: float):
                         by = np.argsort(hashes[cut[k] : cut[k + 1]])
                         sets[name] = (hashes[cut[k] : cut[k + 1]][by], weight[cut[k] : cut[k + 1]][by])
             ok = [similarity(sets[x], sets[y]) >= threshold - 1e-9 for x, y in zip(a, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["a"].cast(pa.binary()), batch["b"].cast(pa.binary()), pa.array(ok)], schema=schema)
+            yield pa.RecordBatch.from_arrays([*(batch[n].cast(pa.binary()) for n in names), pa.array(ok, pa.bool_())], schema=schema)
 
     return verify
 
@@ -197,33 +228,97 @@ def _node_of(text: pa.Array) -> pa.Array:
     out = []
     for _, _, raw, starts, ends in _blocks(text):
         _, first, stop, whole, other = _word_hashes(raw, starts, ends)
-        out += [v if s else None for v, s in zip(_nodes(whole, other).to_pylist(), (stop > first).tolist(), strict=True)]
-    return pa.array(out, pa.binary())
+        out.append(_nodes(whole, other, stop > first))
+    return pa.concat_arrays(out) if out else pa.array([], pa.binary())
 
 
 def _compared(df: DataFrame, doc_id: str, text: str, threshold: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node) of every row, node null without a word; and (node, comp) of the nodes that have a link."""
+    """(doc_id, node) of every row, node null without a word; and (node, comp) of the nodes that share a band with another."""
     spark = df.sparkSession
     slim = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     with small_batches(spark):
-        sketched = materialize(slim.mapInArrow(_sketch(bands, rows), "doc_id long, node binary, bands array<long>"), "sketches")
-        nodes = sketched.filter("node is not null").groupBy("node").agg(F.first("bands").alias("bands"))
-        members = materialize(nodes.select("node", F.posexplode("bands").alias("band", "key")), "bands")
-        several = members.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("size")).filter("x <> y").select("key", "size")
-        # A shuffled join at every size: a broadcast would only ever fit small tables.
-        met = materialize(members.join(several.hint("shuffle_merge"), "key"), "buckets")
-        drop_table(members)
-        degree = met.groupBy("node").agg(F.sum("size").alias("degree"))
-        degree = materialize(degree, "degrees")
-        bodies = materialize(slim.mapInArrow(_bodies, "node binary, body binary").join(degree.select("node"), "node", "left_semi").dropDuplicates(["node"]), "bodies")
-    slimmed = materialize(met.join(degree.hint("shuffle_merge"), "node").select("key", "band", "node", "degree"), "buckets")
-    drop_table(met)
-    comp = _linked(slimmed, bodies, threshold)
-    drop_table(slimmed)
-    drop_table(bodies)
+        sketched = materialize(slim.mapInArrow(_sketch(bands, rows), SKETCH), "sketches")
+    nodes = sketched.filter("node is not null").groupBy("node").agg(*(F.first(c).alias(c) for c in ("bands", "weight", "shingles", "bits")))
+    nodes = materialize(nodes, "nodes")
+    # A band's number is part of its key. Shuffled joins at every size: a broadcast would only ever fit small tables.
+    banded = nodes.select("node", F.explode("bands").alias("key"))
+    several = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").hint("shuffle_merge")
+    met = materialize(banded.join(several, "key"), "buckets")
+    degree = met.groupBy("node").agg(F.sum("size").alias("degree"))
+    known = nodes.join(degree.hint("shuffle_merge"), "node").select(F.struct("node", "degree", "weight", "shingles", "bits").alias("it"))
+    members = materialize(met.select("key", "node").join(known.hint("shuffle_merge"), F.col("node") == F.col("it.node")).select("key", "it"), "members")
+    for t in (nodes, met):
+        drop_table(t)
+    comp = _linked(members, sketched.select("node", "body"), threshold)
+    drop_table(members)
     return sketched.select("doc_id", "node"), comp
 
 
+def _linked(members: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
+    """members (key, it: node, degree, weight, shingles, bits) -> (node, comp) of all nodes in members."""
+    spark = members.sparkSession
+    done: list[DataFrame] = []
+
+    def side(t: DataFrame, name: str) -> DataFrame:
+        return t.select(F.col("key").alias(f"{name}_key"), F.struct(*t.columns[1:]).alias(name))
+
+    def compare(x: DataFrame, y: DataFrame, also: Column) -> DataFrame | None:
+        """Links between x's and y's members of equal keys, by component: (a, b)."""
+        fits = (F.col("x_key") == F.col("y_key")) & (F.col("x.comp") != F.col("y.comp")) & also & could_link("x.it", "y.it", threshold)
+        met = side(x, "x").join(side(y, "y").hint("shuffle_merge"), fits)
+        swap = F.col("x.it.node") > F.col("y.it.node")
+        pairs = met.select(*(F.when(swap if n == "a" else ~swap, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}")).alias(n + o) for n in "ab" for c, o in (("it.node", ""), ("comp", "_comp"))))
+        pairs = pairs.dropDuplicates(["a", "b"])
+        for before in done:
+            pairs = pairs.join(before.select("a", "b").hint("shuffle_merge"), ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        if not pairs.take(1):
+            return None
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        text = materialize(bodies.join(needed.hint("shuffle_merge"), "node", "left_semi").dropDuplicates(["node"]), "bodies")
+        body = lambda n: text.select(F.col("node").alias(n), F.col("body").alias(f"{n}_body"))
+        with small_batches(spark):
+            both = pairs.join(body("a").hint("shuffle_merge"), "a").join(body("b").hint("shuffle_merge"), "b")
+            found = both.select("a", "b", "a_comp", "b_comp", "a_body", "b_body").mapInArrow(_verify(threshold), "a binary, b binary, a_comp binary, b_comp binary, similar boolean")
+            done.append(materialize(found, "verified"))
+        drop_table(text)
+        drop_table(pairs)
+        links = done[-1].filter("similar").select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b"))
+        return links if links.take(1) else None
+
+    def joined(t: DataFrame, links: DataFrame | None) -> DataFrame:
+        """t with the components that the links make of its own."""
+        if links is None:
+            return t
+        step = components(links).select(F.col("node").alias("was"), F.col("comp").alias("now"))
+        out = t.join(step.hint("shuffle_merge"), F.col("comp") == F.col("was"), "left").withColumn("comp", F.coalesce("now", "comp")).drop("was", "now")
+        out = materialize(out.select(*t.columns), "components")
+        drop_table(step)
+        return out
+
+    def open_(t: DataFrame, comp: DataFrame) -> DataFrame:
+        """The members of buckets of several components, with them."""
+        named = t.select("key", "it", *(c for c in t.columns[2:] if c != "comp")).join(comp.withColumnRenamed("node", "n").hint("shuffle_merge"), F.col("it.node") == F.col("n")).drop("n")
+        several = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+        return named.join(several.hint("shuffle_merge"), "key").select("key", "it", *named.columns[2:])
+
+    first = members.withColumn("comp", F.col("it.node"))
+    hubs = first.groupBy("key").agg(F.max_by("it", F.struct("it.degree", "it.node")).alias("it")).withColumn("comp", F.col("it.node"))
+    comp = materialize(members.select(F.col("it.node").alias("node"), F.col("it.node").alias("comp")).distinct(), "components")
+    comp = joined(comp, compare(hubs, first, F.lit(True)))
+    now = materialize(open_(members, comp), "open")
+    best = now.groupBy("key", "comp").agg(F.max(F.struct("it.degree", "it.node")).alias("best")).select(F.col("key").alias("k"), F.col("comp").alias("c"), F.col("best.node").alias("h"))
+    marked = now.join(best.hint("shuffle_merge"), (F.col("key") == F.col("k")) & (F.col("comp") == F.col("c")))
+    now = materialize(marked.select("key", "it", "comp", (F.col("it.node") == F.col("h")).alias("hub")), "open")
+    # Two hubs meet once.
+    comp = joined(comp, compare(now.filter("hub"), now, ~F.col("y.hub") | (F.col("x.it.node") < F.col("y.it.node"))))
+    rest = open_(now.filter("not hub"), comp)
+    comp = joined(comp, compare(rest, rest, F.col("x.it.node") < F.col("y.it.node")))
+    for t in (*done, now):
+        drop_table(t)
+    return comp
+
+
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of df: doc_id, class_id (the least doc_id of its class), class_size (documents)."""
     own, comp = _compared(df, doc_id, text, threshold, bands, rows)
@@ -232,70 +327,6 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold
     return named.join(per, F.col("comp") == F.col("c"), "left").select("doc_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
 
-def _linked(met: DataFrame, bodies: DataFrame, threshold: float, groups: tuple[int, ...] = STAR_BANDS) -> DataFrame:
-    """met (key, band, node, degree) -> (node, comp) of all nodes that have a link.
-
-    First stars, a few bands at a time, so that later bands only ask for what earlier ones haven't linked; then the buckets that are still open.
-    """
-    spark = met.sparkSession
-    state = {"checked": None, "comp": spark.createDataFrame([], "node binary, comp binary")}
-    text = lambda side: bodies.select(F.col("node").alias(side), F.col("body").alias(f"{side}_body"))
-
-    def with_comp(members: DataFrame) -> DataFrame:
-        return members.join(state["comp"], "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-
-    def compare(members: DataFrame, chosen: DataFrame) -> None:
-        """Verify pivots against the members of their buckets in other components; link what is similar."""
-        pairs = members.join(chosen, (members["key"] == chosen["k"]) & (members["comp"] != chosen["pivot_comp"]))
-        pairs = pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        if state["checked"] is not None:
-            pairs = pairs.join(state["checked"].select("a", "b"), ["a", "b"], "left_anti")
-        with small_batches(spark):
-            found = materialize(pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_body", "b_body").mapInArrow(_verify(threshold), "a binary, b binary, similar boolean"), "verified")
-        before = state["checked"]
-        state["checked"] = found if before is None else materialize(before.unionByName(found), "verified")
-        if before is not None:
-            drop_table(before)
-            drop_table(found)
-        old, new = state["comp"], components(state["checked"].filter("similar").select("a", "b"))
-        state["comp"] = materialize(new, "components")
-        drop_table(new)
-        drop_table(old)
-
-    used, low = None, 0
-    for high in groups:
-        members = materialize(with_comp(met.filter((F.col("band") >= low) & (F.col("band") < high)).select("key", "node", "degree")), "members")
-        ranked = members.withColumn("new", F.lit(True)) if used is None else members.join(used.withColumn("was", F.lit(True)), "node", "left").withColumn("new", F.col("was").isNull())
-        # The member that most others meet, and that was no pivot in earlier bands.
-        chosen = materialize(ranked.groupBy("key").agg(F.max(F.struct("new", "degree", "node", "comp")).alias("p")).select(F.col("key").alias("k"), F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "pivots")
-        compare(members, chosen)
-        drop_table(members)
-        pivots = chosen.select(F.col("pivot").alias("node"))
-        used = (pivots if used is None else used.union(pivots)).distinct()
-        low = high
-    open_, n = met.select("key", "node", "degree", F.lit(False).alias("done")), 1
-    while True:
-        # Open are buckets of several components of which at least two hold members that were no pivot.
-        now = with_comp(open_)
-        undone = F.when(~F.col("done"), F.col("comp"))
-        still = now.groupBy("key").agg(F.min(undone).alias("x"), F.max(undone).alias("y")).filter("x <> y").select("key")
-        after = materialize(now.join(still, "key").select("key", "node", "degree", "comp", "done"), "open")
-        if n > 1:
-            drop_table(open_)
-        if not after.take(1):
-            return state["comp"]
-        size = after.groupBy("key", "comp").agg(F.count("*").alias("of_comp"))
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("of_comp", "comp", F.desc("degree"), "node"))
-        chosen = after.filter("not done").join(size, ["key", "comp"]).withColumn("r", rank).filter(F.col("r") <= n).select(F.col("key").alias("k"), F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
-        chosen = materialize(chosen, "pivots")
-        compare(after, chosen)
-        turned = chosen.select(F.col("k").alias("key"), F.col("pivot").alias("node"), F.lit(True).alias("was"))
-        open_ = materialize(after.drop("comp").join(turned, ["key", "node"], "left").withColumn("done", F.col("done") | F.coalesce("was", F.lit(False))).drop("was"), "open")
-        drop_table(after)
-        drop_table(chosen)
-        n *= 2
-
-
 def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """df with one document of each class, the one of least id (of equal ids the least node, of equal rows one), all columns as they were.
 
