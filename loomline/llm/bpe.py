@@ -1,37 +1,51 @@
 """BPE encoding over a distinct-word table, and decoding through an id-to-piece table.
 
 The tokenizer's pre-tokenizer never joins text across ASCII blanks, so a text's
-ids are its blank-separated words' ids one after another. Tasks count the words
-of their rows, Spark sums the counts, and every frequent distinct word is encoded
-once; the table of word -> ids is broadcast and every text's ids are put together
-by position. The broadcast is bounded: it holds the words above the count at
-which `head_words` words of at most `head_chars` characters remain. Words beyond
-it (most occur once in the corpus) are encoded where they stand, once per block
-of texts: sending them through a join would shuffle every text's ids. The
-id-to-piece table has the vocabulary's size and is broadcast too.
-
-Defined results: a null or empty text has no ids and decodes to an empty text;
-repeated rows are encoded each; other columns pass through `encode`; an empty
-table gives an empty table.
+ids are its blank-separated words' ids one after another.
+
+1. Spark splits the texts into words. A task packs its texts into chunks: the
+   chunk's distinct words, and each text as places in that list.
+2. The chunks' words, with chunk and place, are shuffled and sorted by word, so
+   equal words of all chunks stand together; each distinct word is encoded once
+   and its ids go back to the chunks that asked.
+3. Chunks, bucketed so that texts aren't shuffled, join their answers, and every
+   text's ids are put together by position.
+
+No word is treated apart: a word that every text has is a row of each chunk, a
+word that occurs once is one row. The shuffles hold distinct words of chunks, not
+occurrences.
+
+`decode` joins ids with the id-to-piece table and puts pieces together by position.
+`digests`, which needs only a hash of the decoded text, looks pieces up by id in
+the same table where the ids are made: the vocabulary bounds it, while decoded
+texts in a shuffle would be more than the input.
+
+Defined results: a null or empty text has no ids and decodes to an empty text (null
+ids to null); repeated rows are encoded each; other columns pass through `encode`
+and `decode`; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import Counter
+import uuid
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SPLIT = re.compile(r"[^ \t-\r]+").findall
-HEAD_WORDS, HEAD_CHARS = 400_000, 40
-#: Distinct words a task holds before it hands its counts on.
-FLUSH_WORDS = 400_000
-BLOCK = 256
+from .chunks import ChunkTable, pack_columns, unpack_columns
+from .common import fresh_path, materialize, small_batches, words
+
+#: A chunk ends with the batch that brings it to so many words.
+CHUNK_WORDS = 4 << 20
+#: Answers that a task holds before it deals them to chunks.
+ANSWER_ROWS = 1 << 19
+#: Words of texts whose ids are put together at once.
+BLOCK_WORDS = 1 << 18
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -50,14 +64,14 @@ def tokenizer(path: str):
     return t
 
 
-def encode_words(path: str, words: list[str]) -> list[bytes]:
-    """Every word's ids as little-endian unsigned 32-bit integers."""
-    return [np.array(e.ids, "<u4").tobytes() for e in tokenizer(path).encode_batch(words, add_special_tokens=False)]
+def encode_words(path: str, some: list[str]) -> list[list[int]]:
+    """Every word's ids."""
+    return [e.ids for e in tokenizer(path).encode_batch_fast(some, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> list[str]:
-    """Piece by id: the table that decoding looks ids up in."""
+    """Piece by id."""
     t = tokenizer(path)
     vocabulary = t.get_vocab(with_added_tokens=True)
     out = [""] * (max(vocabulary.values()) + 1)
@@ -66,86 +80,145 @@ def pieces(path: str) -> list[str]:
     return out
 
 
-def decode_ids(path: str, ids: np.ndarray) -> str:
-    """The library's decode() for a tokenizer without a decoder: pieces joined by blanks."""
-    return " ".join(map(pieces(path).__getitem__, ids.tolist()))
+def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, .. (n[0] of them), start[1], .."""
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+
 
+def word_chunks(df: DataFrame, key: str, text: str, chunk_words: int = CHUNK_WORDS) -> ChunkTable:
+    """Rows of chunk, keys (of its texts), lengths (words of each text), places (of every word in `words`) and words (distinct), bucketed by chunk."""
+    slim = df.select(F.col(key).alias("key"), words(F.col(text)).alias("w"))
+    kind = slim.schema["key"].dataType.simpleString()
 
-def word_counts(df: DataFrame, text: str) -> DataFrame:
-    """word, n over all texts; tasks add up their own counts first."""
-    schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
+    def pack(batches):
+        keys, lengths, places, table, held, schema = [], [], [], {}, 0, None
 
-    def out(counts: Counter):
-        items = list(counts.items())
-        for at in range(0, len(items), 50_000):
-            part = items[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], schema=schema)
+        def out():
+            columns = [pa.array([pa.concat_arrays(keys)], pa.list_(keys[0].type)), pa.array([pack_columns(np.concatenate(lengths))]), pa.array([pack_columns(np.concatenate(places))]), pa.array([list(table)], pa.list_(pa.string()))]
+            return pa.RecordBatch.from_arrays(columns, names=["keys", "lengths", "places", "words"])
 
-    def count(batches):
-        counts: Counter = Counter()
         for b in batches:
-            for t in b["text"]:
-                if t.is_valid:
-                    counts.update(SPLIT(t.as_py()))
-                    if len(counts) > FLUSH_WORDS:
-                        yield from out(counts)
-                        counts = Counter()
-        yield from out(counts)
-
-    return df.select(F.col(text).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def word_table(df: DataFrame, text: str, path: str, head_words: int = HEAD_WORDS, head_chars: int = HEAD_CHARS) -> dict[str, bytes]:
-    """word -> ids of the most frequent words: at most head_words of them, each encoded once, on the executors."""
-    from .common import drop_table, materialize
-
-    counts = materialize(word_counts(df, text).filter((F.col("n") > 1) & (F.length("word") <= head_chars)), "word-counts")
-    ladder = counts.groupBy(F.least(F.col("n"), F.lit(10_000)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()  # 10,000 rows at most
-    total, least = 0, None
-    for n, words in ladder:
-        if total + words > head_words:
-            break
-        total, least = total + words, n
-    schema = pa.schema([("word", pa.string()), ("ids", pa.binary())])
+            some = b["w"].flatten().dictionary_encode()
+            at = np.fromiter((table.setdefault(w, len(table)) for w in some.dictionary.to_pylist()), np.uint32, len(some.dictionary))
+            places.append(at[some.indices.to_numpy(zero_copy_only=False)] if len(some) else np.zeros(0, np.uint32))
+            lengths.append(pc.fill_null(pc.list_value_length(b["w"]), 0).to_numpy(zero_copy_only=False).astype(np.uint32))
+            keys.append(b["key"])
+            held += len(some)
+            if held >= chunk_words:
+                yield out()
+                keys, lengths, places, table, held = [], [], [], {}, 0
+        if keys:
+            yield out()
+
+    spark = df.sparkSession
+    path, name = fresh_path(spark, "word-chunks"), f"loomline_words_{uuid.uuid4().hex}"
+    packed = slim.mapInArrow(pack, f"keys array<{kind}>, lengths binary, places binary, words array<string>")
+    with small_batches(spark):
+        packed.withColumn("chunk", F.monotonically_increasing_id()).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").option("compression", "zstd").option("path", path).format("parquet").saveAsTable(name)
+    return ChunkTable(spark.table(name), name, path)
+
+
+def _encoder(path: str, answer_rows: int):
+    schema = pa.schema([("chunk", pa.int64()), ("blob", pa.binary())])
+
+    def dealt(parts):
+        chunk, place, n, ids = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        order = np.lexsort((place, chunk))
+        start = np.cumsum(n) - n
+        ids, chunk, place, n = ids[_ragged(start[order], n[order])], chunk[order], place[order], n[order]
+        cuts = np.append(np.flatnonzero(np.diff(chunk, prepend=chunk[0] - 1)), len(chunk))
+        ends = np.append(0, np.cumsum(n))
+        rows = [(int(chunk[a]), pack_columns(place[a:b].astype("<u4"), n[a:b].astype("<u4"), ids[ends[a] : ends[b]].astype("<u4"))) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
     def encode(batches):
+        """Rows sorted by word: a distinct word is encoded where its run begins."""
+        parts, held, last, last_ids = [], 0, None, []
         for b in batches:
-            words = b["word"].to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(encode_words(path, words), pa.binary())], schema=schema)
-
-    if least is None:  # no frequent word, or more than the bound above 10,000: then all words are encoded where they stand
-        return {}
-    head = counts.filter(F.col("n") >= least).select("word").mapInArrow(encode, "word string, ids binary").toArrow()
-    drop_table(counts)
-    return dict(zip(head["word"].to_pylist(), head["ids"].to_pylist(), strict=True))
-
-
-def texts_ids(path: str, table: dict[str, bytes], texts: list[str]):
-    """The ids of each text, as bytes, by looking its words up in the table; a block's other words are encoded once for the block."""
-    for at in range(0, len(texts), BLOCK):
-        split = [SPLIT(t) for t in texts[at : at + BLOCK]]
-        rare = list({w for s in split for w in s if w not in table})
-        own = dict(zip(rare, encode_words(path, rare), strict=True))
-        for s in split:
-            yield b"".join([table.get(w) or own.get(w, b"") for w in s])
-
-
-def _broadcast(df: DataFrame, text: str, path: str, options: dict):
-    return df.sparkSession.sparkContext.broadcast(word_table(df, text, path, **options))
-
-
-def encode(df: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids", **options) -> DataFrame:
-    """df with its texts' ids, array<int>."""
-    path = path or tokenizer_path()
-    table = _broadcast(df, text, path, options)
-
-    @F.pandas_udf("array<int>")
-    def of(texts):
-        import pandas as pd
-
-        return pd.Series([np.frombuffer(x, "<u4").astype("<i4") for x in texts_ids(path, table.value, texts.fillna("").tolist())])
-
-    return df.withColumn(ids, of(F.col(text)))
+            if not b.num_rows:
+                continue
+            some = b["word"].dictionary_encode()
+            distinct = some.dictionary.to_pylist()
+            known = distinct[0] == last
+            found = ([last_ids] if known else []) + encode_words(path, distinct[known:])
+            last, last_ids = distinct[-1], found[-1]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter((i for x in found for i in x), np.int64, int(size.sum()))
+            of = some.indices.to_numpy(zero_copy_only=False)
+            parts.append((b["chunk"].to_numpy(zero_copy_only=False), b["place"].to_numpy(zero_copy_only=False), size[of], flat[_ragged((np.cumsum(size) - size)[of], size[of])]))
+            held += len(of)
+            if held >= answer_rows:
+                yield dealt(parts)
+                parts, held = [], 0
+        if parts:
+            yield dealt(parts)
+
+    return encode
+
+
+def _texts(batch, i: int):
+    """(key, ids) of every text of a chunk with its answers."""
+    lengths, places = unpack_columns(batch["lengths"][i].as_py())[0].astype(np.int64), unpack_columns(batch["places"][i].as_py())[0]
+    parts = [unpack_columns(x) for x in batch["answers"][i].as_py() or []]
+    place, n, flat = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.uint32) for k in range(3))
+    n = n.astype(np.int64)
+    start, size = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+    start[place], size[place] = np.cumsum(n) - n, n
+    keys, ends = batch["keys"][i].values, np.cumsum(lengths)
+    at = 0
+    while at < len(lengths):
+        base = int(ends[at] - lengths[at])
+        stop = max(at + 1, int(np.searchsorted(ends, base + BLOCK_WORDS, side="right")))
+        some = places[base : int(ends[stop - 1])]
+        ids = flat[_ragged(start[some], size[some])]
+        upto = np.append(0, np.cumsum(size[some]))
+        cuts = upto[np.append(0, ends[at:stop] - base)]
+        for k in range(stop - at):
+            yield keys[at + k], ids[cuts[k] : cuts[k + 1]]
+        at = stop
+
+
+def _encoded(df: DataFrame, key: str, text: str, path: str, columns: list[tuple[str, str, pa.DataType]], make, chunk_words: int, answer_rows: int) -> DataFrame:
+    """key and the columns that make(ids) gives of every text, as a table in the shared folder."""
+    chunks = word_chunks(df, key, text, chunk_words)
+    asked = chunks.table.select("chunk", F.posexplode("words").alias("place", "word")).repartition("word").sortWithinPartitions("word")
+    answers = asked.mapInArrow(_encoder(path, answer_rows), "chunk long, blob binary").groupBy("chunk").agg(F.collect_list("blob").alias("answers"))
+    joined = chunks.table.select("chunk", "keys", "lengths", "places").join(answers.hint("shuffle_hash"), "chunk", "left")
+    kind = df.schema[key].dataType.simpleString()
+
+    def finish(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, rows = [], []
+
+                def out():
+                    made = [pa.array(c, t) for c, (_, _, t) in zip(zip(*rows, strict=True), columns, strict=True)]
+                    return pa.RecordBatch.from_arrays([pa.array(keys, batch["keys"].type.value_type), *made], names=["key", *(n for n, _, _ in columns)])
+
+                held = 0
+                for k, ids in _texts(batch, i):
+                    keys.append(k.as_py())
+                    rows.append(make(ids))
+                    held += 64 + len(ids)
+                    if held > BLOCK_WORDS:
+                        yield out()
+                        keys, rows, held = [], [], 0
+                if keys:
+                    yield out()
+
+    with small_batches(df.sparkSession, 10_000, 32 << 20):
+        done = materialize(joined.mapInArrow(finish, ", ".join([f"key {kind}", *(f"{n} {t}" for n, t, _ in columns)])), "encoded")
+    chunks.drop()
+    return done
+
+
+def encode(df: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids", chunk_words: int = CHUNK_WORDS, answer_rows: int = ANSWER_ROWS) -> DataFrame:
+    """df with its texts' ids, array<int>. An existing column of that name is refused."""
+    if ids in df.columns:
+        raise ValueError(f"{ids} is a column already")
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    made = _encoded(rows, "__row", text, path or tokenizer_path(), [(ids, "array<int>", pa.list_(pa.int32()))], lambda x: (x.astype("<i4"),), chunk_words, answer_rows)
+    return rows.join(made.withColumnRenamed("key", "__row"), "__row").select(*df.columns, ids)
 
 
 def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -154,33 +227,24 @@ def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 
 def decode(df: DataFrame, ids: str = "ids", path: str | None = None, out: str = "decoded") -> DataFrame:
-    """df with its ids' text, by joining each id with its piece; the vocabulary bounds what is broadcast, and a row's ids are joined in place."""
-    path = path or tokenizer_path()
-
-    @F.pandas_udf("string")
-    def of(rows):
-        import pandas as pd
-
-        return pd.Series(["" if r is None else decode_ids(path, np.asarray(r)) for r in rows])
-
-    return df.withColumn(out, of(F.col(ids)))
-
-
-def digests(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, **options) -> DataFrame:
+    """df with its ids' text: ids joined with their pieces (the vocabulary bounds what is broadcast), pieces with blanks in between, by position."""
+    if out in df.columns:
+        raise ValueError(f"{out} is a column already")
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    table = F.broadcast(piece_table(df.sparkSession, path).withColumnRenamed("id", "__id"))
+    each = rows.select("__row", F.posexplode(ids).alias("__at", "__id")).join(table, "__id")
+    texts = each.groupBy("__row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__at", "piece"))), lambda x: x["piece"]), " ").alias("__text"))
+    text = F.when(F.col(ids).isNotNull(), F.coalesce("__text", F.lit(""))).alias(out)
+    return rows.join(texts, "__row", "left").select(*df.columns, text)
+
+
+def digests(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, chunk_words: int = CHUNK_WORDS, answer_rows: int = ANSWER_ROWS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text."""
     path = path or tokenizer_path()
-    table = _broadcast(df, text, path, options)
-    schema = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
-    def run(batches):
-        sha = lambda b: hashlib.sha256(b).hexdigest()
-        for b in batches:
-            rows = []
-            for raw in texts_ids(path, table.value, [x or "" for x in b["text"].to_pylist()]):
-                ids = np.frombuffer(raw, "<u4")
-                rows.append((len(ids), sha(raw), sha(decode_ids(path, ids).encode())))
-            made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)] if rows else [pa.array([], t) for t in schema.types]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], *made], names=["doc_id", *schema.names])
-
-    slim = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def make(ids: np.ndarray) -> tuple[int, str, str]:
+        decoded = " ".join(map(pieces(path).__getitem__, ids.tolist()))
+        return len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+    columns = [("n_tokens", "long", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())]
+    return _encoded(df, doc_id, text, path, columns, make, chunk_words, answer_rows).withColumnRenamed("key", "doc_id")

@@ -57,15 +57,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 512):
-    """Inside, texts go to Python workers in batches of so many rows; for jobs that run before the block ends."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 64 << 20):
+    """Inside, rows go to Python workers in batches of at most so many rows and about so many bytes; for jobs that run before the block ends."""
+    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, most in keys.items():
+        had = int(before[k].removesuffix("b"))
+        spark.conf.set(k, str(min(most, had) if had > 0 else most))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def words(text: Column) -> Column:

@@ -77,7 +77,7 @@ def test_bpe_equals_the_library(docs, odd, empty, spark):
     path = bpe.tokenizer_path()
     t = bpe.tokenizer(path)
     extra = spark.createDataFrame([(1, "Σας ΣΑΣ <|endoftext|>x <|startoftext|> it's 12\u0301 e\u0301 \u0085a\u2003b\x1cc İ"), (2, "a<|endoftext|>b\x0bc\r\nd")], "doc_id long, text string")
-    for df, options in ((docs, {}), (odd, {}), (extra, {}), (docs, {"head_words": 100})):
+    for df, options in ((docs, {"chunk_words": 3000, "answer_rows": 500}), (odd, {}), (extra, {})):
         want = set()
         for r in df.collect():
             ids = t.encode(r.text or "", add_special_tokens=False).ids
