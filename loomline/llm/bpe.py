@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from .chunks import ChunkTable, pack_columns, unpack_columns
 from .common import fresh_path, materialize, small_batches, words
 
-#: A chunk ends with the batch that brings it to so many words.
-CHUNK_WORDS = 4 << 20
+#: A chunk ends with the batch that brings it to so many words, or with its task; a task packs so many of the scan's partitions.
+CHUNK_WORDS, CHUNK_PARTITIONS = 8 << 20, 2
 #: Answers that a task holds before it deals them to chunks.
 ANSWER_ROWS = 1 << 19
 #: Words of texts whose ids are put together at once.
@@ -86,7 +86,7 @@ def _ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def word_chunks(df: DataFrame, key: str, text: str, chunk_words: int = CHUNK_WORDS) -> ChunkTable:
-    """Rows of chunk, keys (of its texts), lengths (words of each text), places (of every word in `words`) and words (distinct), bucketed by chunk."""
+    """Rows of chunk, keys (of its texts), lengths (words of each text), places (of every word in `words`) and words (distinct, the most frequent first, a line each), bucketed by chunk."""
     slim = df.select(F.col(key).alias("key"), words(F.col(text)).alias("w"))
     kind = slim.schema["key"].dataType.simpleString()
 
@@ -94,7 +94,13 @@ def word_chunks(df: DataFrame, key: str, text: str, chunk_words: int = CHUNK_WOR
         keys, lengths, places, table, held, schema = [], [], [], {}, 0, None
 
         def out():
-            columns = [pa.array([pa.concat_arrays(keys)], pa.list_(keys[0].type)), pa.array([pack_columns(np.concatenate(lengths))]), pa.array([pack_columns(np.concatenate(places))]), pa.array([list(table)], pa.list_(pa.string()))]
+            every, n = np.concatenate(places), len(table)
+            order = np.argsort(-np.bincount(every, minlength=n), kind="stable")
+            rank = np.empty(n, np.uint32)
+            rank[order] = np.arange(n, dtype=np.uint32)
+            found = list(table)
+            lines = "\n".join([found[k] for k in order.tolist()])
+            columns = [pa.array([pa.concat_arrays(keys)], pa.list_(keys[0].type)), pa.array([pack_columns(np.concatenate(lengths))]), pa.array([pack_columns(rank[every])]), pa.array([lines if n else None], pa.string())]
             return pa.RecordBatch.from_arrays(columns, names=["keys", "lengths", "places", "words"])
 
         for b in batches:
@@ -112,7 +118,7 @@ def word_chunks(df: DataFrame, key: str, text: str, chunk_words: int = CHUNK_WOR
 
     spark = df.sparkSession
     path, name = fresh_path(spark, "word-chunks"), f"loomline_words_{uuid.uuid4().hex}"
-    packed = slim.mapInArrow(pack, f"keys array<{kind}>, lengths binary, places binary, words array<string>")
+    packed = slim.coalesce(max(1, -(-slim.rdd.getNumPartitions() // CHUNK_PARTITIONS))).mapInArrow(pack, f"keys array<{kind}>, lengths binary, places binary, words string")
     with small_batches(spark):
         packed.withColumn("chunk", F.monotonically_increasing_id()).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").option("compression", "zstd").option("path", path).format("parquet").saveAsTable(name)
     return ChunkTable(spark.table(name), name, path)
@@ -128,7 +134,7 @@ def _encoder(path: str, answer_rows: int):
         ids, chunk, place, n = ids[_ragged(start[order], n[order])], chunk[order], place[order], n[order]
         cuts = np.append(np.flatnonzero(np.diff(chunk, prepend=chunk[0] - 1)), len(chunk))
         ends = np.append(0, np.cumsum(n))
-        rows = [(int(chunk[a]), pack_columns(place[a:b].astype("<u4"), n[a:b].astype("<u4"), ids[ends[a] : ends[b]].astype("<u4"))) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        rows = [(int(chunk[a]), pack_columns(np.diff(place[a:b], prepend=0).astype("<u4"), n[a:b].astype("<u4"), ids[ends[a] : ends[b]].astype("<u4"))) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
     def encode(batches):
@@ -160,7 +166,8 @@ def _texts(batch, i: int):
     """(key, ids) of every text of a chunk with its answers."""
     lengths, places = unpack_columns(batch["lengths"][i].as_py())[0].astype(np.int64), unpack_columns(batch["places"][i].as_py())[0]
     parts = [unpack_columns(x) for x in batch["answers"][i].as_py() or []]
-    place, n, flat = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.uint32) for k in range(3))
+    place = np.concatenate([np.cumsum(p[0]) for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
+    n, flat = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.uint32) for k in (1, 2))
     n = n.astype(np.int64)
     start, size = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
     start[place], size[place] = np.cumsum(n) - n, n
@@ -181,7 +188,7 @@ def _texts(batch, i: int):
 def _encoded(df: DataFrame, key: str, text: str, path: str, columns: list[tuple[str, str, pa.DataType]], make, chunk_words: int, answer_rows: int) -> DataFrame:
     """key and the columns that make(ids) gives of every text, as a table in the shared folder."""
     chunks = word_chunks(df, key, text, chunk_words)
-    asked = chunks.table.select("chunk", F.posexplode("words").alias("place", "word")).repartition("word").sortWithinPartitions("word")
+    asked = chunks.table.select("chunk", F.posexplode(F.split("words", "\n")).alias("place", "word")).repartition("word").sortWithinPartitions("word")
     answers = asked.mapInArrow(_encoder(path, answer_rows), "chunk long, blob binary").groupBy("chunk").agg(F.collect_list("blob").alias("answers"))
     joined = chunks.table.select("chunk", "keys", "lengths", "places").join(answers.hint("shuffle_hash"), "chunk", "left")
     kind = df.schema[key].dataType.simpleString()
