@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Each rule reads one text and says whether it rejects it. `plan_cascade` measures
-every rule's cost and how much it rejects on a bounded sample and orders the
-rules by rejection per cost; `cascade` compiles that order into one CASE whose
+Each rule reads one text and says whether it rejects it. `plan_cascade` estimates
+every rule's cost and how much it rejects on a sample, and orders the
+rules by rejection per cost, each by what it rejects of the rows that the rules before
+it let through; `cascade` compiles that order into one CASE whose
 later branches are evaluated only for documents that the earlier ones let
 through. The order never changes which documents are rejected, only what it
 costs to find out (and which rule is named first).
@@ -14,18 +15,19 @@ empty table gives an empty table.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, words
+from .common import drop_table, let, materialize, words
 
 SYMBOLS = "#*$%&|<>"
-#: Rows at most that costs and selectivities are measured on.
+#: Rows, about, that costs and selectivities are estimated on.
 SAMPLE_ROWS = 2000
+#: Work of a count by characters and by words of its text, in units of one pass of a simple pattern over a character. Fixed values.
+WORK = {"n_words": (1.0, 2.0), "word_chars": (1.0, 0.0), "n_symbols": (1.0, 0.0), "n_bangs": (0.3, 0.0), "n_dup_lines": (1.0, 1.0), "n_lines": (1.0, 0.5), "n_repeat_words": (1.0, 12.0)}
 
 
 def text_of(column: str) -> Column:
@@ -105,45 +107,50 @@ class Counted(Counts):
 
 @dataclass(frozen=True)
 class Rule:
-    """name and rejects(Counts): true for a document that the rule throws out."""
+    """name, the counts that it reads, and rejects(Counts): true for a document that the rule throws out."""
 
     name: str
+    reads: tuple[str, ...]
     rejects: Callable[[Counts], Column]
 
 
 RULES = (
-    Rule("too_short", lambda c: c.n_words() < 50),
-    Rule("repeated_words", lambda c: let(words(c.text), lambda w: repeat_words(w) * 100 > F.size(w) * 50)),
-    Rule("symbols", lambda c: c.n_symbols() * 20 > c.word_chars()),
-    Rule("shouting", lambda c: c.n_bangs() * 10 > c.word_chars()),
-    Rule("repeated_lines", lambda c: let(c.n_dup_lines(), lambda d: (d > 2) & (d * 2 > c.n_lines()))),
-    Rule("word_length", lambda c: let(c.n_words(), lambda n: (c.word_chars() > n * 25) | (c.word_chars() < n * 2))),
+    Rule("too_short", ("n_words",), lambda c: c.n_words() < 50),
+    Rule("repeated_words", ("n_repeat_words",), lambda c: let(words(c.text), lambda w: repeat_words(w) * 100 > F.size(w) * 50)),
+    Rule("symbols", ("n_symbols", "word_chars"), lambda c: c.n_symbols() * 20 > c.word_chars()),
+    Rule("shouting", ("n_bangs", "word_chars"), lambda c: c.n_bangs() * 10 > c.word_chars()),
+    Rule("repeated_lines", ("n_dup_lines", "n_lines"), lambda c: let(c.n_dup_lines(), lambda d: (d > 2) & (d * 2 > c.n_lines()))),
+    Rule("word_length", ("n_words", "word_chars"), lambda c: let(c.n_words(), lambda n: (c.word_chars() > n * 25) | (c.word_chars() < n * 2))),
 )
 
 
-def plan_cascade(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[dict]:
-    """Each rule's cost and selectivity on a sample, best rejection per cost first.
+def plan_cascade(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, done: tuple[str, ...] = ()) -> list[dict]:
+    """The rules in order, each with its cost and its selectivity (the share of the sample that it rejects and the rules before it don't), best rejection per cost first.
 
-    The sample is the first `sample_rows` rows that the scan yields: one or two
-    tasks, whatever the table's size. Costs are seconds of a forced evaluation less
-    those of the bare scan.
+    The sample is a hash of the row number, written to the shared folder by the tasks that scan the text column: no row
+    is shuffled, and what comes back is a row for each combination of verdicts. A rule's cost is the work (`WORK`) of the
+    counts that it reads on the sample's texts, without those that are `done`, so an order depends on the data alone.
     """
-    sample = df.select(text_of(text).alias("t")).limit(sample_rows).cache()
-    total = sample.count()
-
-    def timed(column: Column) -> tuple[float, int]:
-        began = time.perf_counter()
-        n = sample.agg(F.count_if(column)).first()[0]
-        return time.perf_counter() - began, n
-
-    timed(F.length("t") > 0)
-    bare = timed(F.length("t") > 0)[0]
-    plan = []
-    for rule in rules:
-        seconds, n = timed(rule.rejects(Counts(F.col("t"))))
-        plan.append({"rule": rule, "cost": max(seconds - bare, 1e-3), "selectivity": n / total if total else 0.0})
-    sample.unpersist()
-    return sorted(plan, key=lambda p: (-p["selectivity"] / p["cost"], p["rule"].name))
+    total = df.count()
+    every = max(1, total // sample_rows)
+    number = F.xxhash64(F.monotonically_increasing_id())
+    picked = df.select(text_of(text).alias("t"), F.pmod(number, F.lit(every)).alias("k")).filter("k = 0").select("t")
+    sample = materialize(picked, "quality-sample")
+    flags = [rule.rejects(Counts(F.col("t"))).alias(f"r{k}") for k, rule in enumerate(rules)]
+    seen = sample.select(*flags, F.length("t").alias("chars"), F.size(words(F.col("t"))).alias("words")).groupBy(*(f"r{k}" for k in range(len(rules)))).agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("words").alias("words"))
+    left = [x.asDict() for x in seen.collect()]  # two to the number of rules at most
+    drop_table(sample)
+    rows = max(1, sum(x["n"] for x in left))
+    chars, n_words = (sum(x[c] for x in left) / rows for c in ("chars", "words"))
+    cost = [1.0 + sum(WORK[c][0] * chars + WORK[c][1] * n_words for c in rule.reads if c not in done) for rule in rules]
+    plan, open_ = [], set(range(len(rules)))
+    while open_:
+        share = {k: sum(x["n"] for x in left if x[f"r{k}"]) / rows for k in open_}
+        best = min(open_, key=lambda k: (-share[k] / cost[k], cost[k], rules[k].name))
+        plan.append({"rule": rules[best], "cost": cost[best], "selectivity": share[best]})
+        left = [x for x in left if not x[f"r{best}"]]
+        open_.remove(best)
+    return plan
 
 
 def cascade(df: DataFrame, order: list[Rule], text: str = "text", verdict: str = "rejected_by") -> DataFrame:
@@ -163,21 +170,22 @@ def keep(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
 
 
 def report(df: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per document: the counts that the rules read, base_failed, kept and the rejecting rule.
+    """One row per document: the counts, base_failed and kept.
 
-    The counts are computed once and shared; the rules that the base test does not
-    hold run as a cascade behind it.
+    The counts that are returned are computed once and shared. The other rules run as a cascade behind the base test: what
+    they read besides (exclamation marks, for one) is only counted in texts that the rules before let through.
     """
     t = text_of(text)
     c = Counts(t)
     of_words = lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("word_chars"), repeat_words(w).alias("n_repeat_words"))
     of_lines = lambda v: F.struct((F.size(v) - F.size(F.array_distinct(v))).cast("long").alias("n_dup_lines"), F.size(v).cast("long").alias("n_lines"))
-    raw = df.select(F.col(doc_id).alias("doc_id"), t.alias("__t"), let(words(t), of_words).alias("w"), let(lines(t), of_lines).alias("l"), c.n_symbols().alias("n_symbols"), c.n_bangs().alias("n_bangs"))
-    base = raw.select("doc_id", "__t", "n_symbols", "n_bangs", "w.*", "l.*")
+    raw = df.select(F.col(doc_id).alias("doc_id"), t.alias("__t"), let(words(t), of_words).alias("w"), let(lines(t), of_lines).alias("l"), c.n_symbols().alias("n_symbols"))
+    base = raw.select("doc_id", "__t", "n_symbols", "w.*", "l.*")
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     rest = tuple(r for r in rules if r.name not in ("too_short", "repeated_words"))
-    order = [p["rule"] for p in plan_cascade(df, text, rest)]
-    done = Counted(F.col("__t"), "n_words", "word_chars", "n_symbols", "n_bangs", "n_dup_lines", "n_lines", "n_repeat_words")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
+    order = [p["rule"] for p in plan_cascade(df, text, rest, done=names)]
+    done = Counted(F.col("__t"), *names)
     first = F.when(failed, F.lit("base"))
     for rule in order:
         first = first.when(rule.rejects(done), F.lit(rule.name))
