@@ -6,7 +6,9 @@ others by weight (water filling). Over training time t in [0, 1] a source is
 drawn at the rate target * (1 + slope * (2t - 1)); its integral, the cumulative
 token demand, is target * (t + slope * (t^2 - t)). A source's documents stand in a
 seeded hash order, pass after pass; the inverse of the demand at the place where
-a copy begins is that copy's training position, and documents are range-sorted
+a copy begins is the time at which it is drawn. All sources' demand up to that time, as a
+share of all targets, is the copy's training position, its place in the mixed token
+stream (for one source alone, rates of all sources don't add up to a constant); documents are range-sorted
 by position.
 
 A copy is taken when its middle lies before the target, so a source's words are
@@ -54,7 +56,8 @@ def source_targets(sizes: DataFrame, max_repeats: int = 3, weight=default_weight
     left = F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     s = s.withColumn("level", left / F.sum("weight").over(onward)).withColumn("capped", F.col("cap") <= F.col("level") * F.col("weight"))
     level = F.first(F.when(~F.col("capped"), F.col("level")), ignorenulls=True).over(everything)
-    return s.withColumn("target", F.when(F.col("capped"), F.col("cap")).otherwise(level * F.col("weight"))).select("source", "n_rows", "source_size", "weight", "slope", "target")
+    s = s.withColumn("target", F.when(F.col("capped"), F.col("cap")).otherwise(level * F.col("weight")))
+    return s.select("source", "n_rows", "source_size", "weight", "slope", "target", F.sum("target").over(everything).alias("total"), F.sum(F.col("target") * F.col("slope")).over(everything).alias("bend"))
 
 
 def position(begin: Column, target: Column, slope: Column) -> Column:
@@ -65,6 +68,11 @@ def position(begin: Column, target: Column, slope: Column) -> Column:
     return F.when(slope == 0, share).otherwise(F.coalesce(F.try_divide(2 * share, linear + root), F.lit(0.0)))
 
 
+def stream_place(t: Column, total: Column, bend: Column) -> Column:
+    """The share of all demand up to time t: total * t + bend * (t^2 - t) over total, for bend the sum of target * slope."""
+    return t + F.coalesce(F.try_divide(bend, total), F.lit(0.0)) * (t * t - t)
+
+
 def plan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", max_repeats: int = 3, seed: int = 42, weight=default_weight, slope=default_slope, extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, source, taken, n_copies, positions (of its copies), and the columns of `extra`."""
     slim = df.select(
@@ -87,17 +95,25 @@ def plan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rows = rows.withColumn("places", places)
     return rows.select(
         "doc_id", "size", "source_size", "target", "source", (F.size("places") * F.col("size")).cast("long").alias("taken"), F.size("places").alias("n_copies"),
-        F.transform("places", lambda b: position(b, F.col("target"), F.col("slope"))).alias("positions"), *extra,
+        F.transform("places", lambda b: stream_place(position(b, F.col("target"), F.col("slope")), F.col("total"), F.col("bend"))).alias("positions"), *extra,
     )
 
 
+def in_order(planned: DataFrame) -> DataFrame:
+    """plan()'s rows, range-sorted by their first position; documents that aren't taken last."""
+    first = F.get("positions", F.lit(0))
+    return planned.repartitionByRange(first.asc_nulls_last(), F.col("doc_id")).sortWithinPartitions(first.asc_nulls_last(), "doc_id")
+
+
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The training order: every taken copy of every document with its columns, range-sorted by position."""
-    marks = df.withColumn("__row", F.xxhash64(*df.columns))
-    p = plan(marks, doc_id, text, source, extra=("__row",), **options)
-    # Repeated rows are equal in every column, so which of them a place goes to makes no difference.
-    copies = p.filter("n_copies > 0").groupBy(F.col("doc_id").alias("__d"), F.col("__row").alias("__r")).agg(F.flatten(F.collect_list("positions")).alias("__positions"))
-    once = marks.dropDuplicates([doc_id, "__row"])
-    placed = once.join(copies, once[doc_id].eqNullSafe(copies["__d"]) & (once["__row"] == copies["__r"]))
-    placed = placed.select(*(F.col(c) for c in df.columns), F.explode("__positions").alias("__position"))
-    return placed.repartitionByRange(F.col("__position"), F.col(doc_id)).sortWithinPartitions("__position", doc_id).select(*df.columns)
+    """The training order: every taken copy of every document with its columns, range-sorted by position.
+
+    Rows are numbered in a table in the shared folder, so that repeated rows are rows of their own.
+    """
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    p = plan(rows, doc_id, text, source, extra=("__row",), **options)
+    copies = p.filter("n_copies > 0").select("__row", F.explode("positions").alias("__position"))
+    placed = rows.join(copies, "__row").repartitionByRange(F.col("__position"), F.col(doc_id))
+    out = placed.sortWithinPartitions("__position", doc_id, "__row").select(*df.columns)
+    out._scratch_path = rows._scratch_path  # for drop_table() once the result is written
+    return out

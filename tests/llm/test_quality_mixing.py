@@ -105,3 +105,15 @@ def test_curriculum_inverts_the_demand(spark):
     demand = 7.0 * (F.col("t") + F.col("slope") * (F.col("t") * F.col("t") - F.col("t")))
     back = df.select("t", mixing.position(demand, F.lit(7.0), F.col("slope")).alias("p")).collect()
     assert all(abs(r.t - r.p) < 1e-9 for r in back)
+
+
+def test_positions_are_places_in_the_mixed_stream(docs):
+    rows = mixing.in_order(mixing.plan(docs)).collect()
+    firsts = [r.positions[0] if r.positions else 2.0 for r in rows]
+    assert firsts == sorted(firsts)
+    copies = sorted((p, r.size) for r in rows for p in r.positions)
+    total, before = sum(n for _, n in copies), 0
+    largest, sources = max(n for _, n in copies), len({r.source for r in rows})
+    for p, n in copies:
+        assert abs(p - before / total) <= (sources + 1) * largest / total
+        before += n
