@@ -1,7 +1,7 @@
 """Secret scans: pattern candidates, then a random forest that removes false positives.
 
-Candidates are known key formats, values behind an assignment, long mixed runs
-of key characters and the parts between the = in them, and private-key blocks.
+Candidates are known key formats, values behind an assignment, long runs
+of key characters with a digit (numbers too) and the parts between the = in them, and private-key blocks.
 Candidates may overlap and each is judged; what is judged a secret is redacted,
 of NAME=value the value alone. Each gets features of its length, character transitions
 (class changes, entropy, bigrams against ordinary words), dictionary coverage,
@@ -38,7 +38,7 @@ ASSIGN = re.compile(r"[:=][ \t]*[\"'`]?")
 VALUE = re.compile(r"[^\s\"'`,;<>()]{8,}")
 PART = re.compile(r"[^=]+=*")
 NAME = re.compile(r"[A-Za-z0-9_.\-]+=+")
-BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
+BEGIN, END = (re.compile(rf"-----{x} [A-Z ]{{0,40}}PRIVATE KEY-----") for x in ("BEGIN", "END"))
 KEYWORD = re.compile(r"(?i)(passw(?:or)?d|pwd|secret|token|api[_\- ]?key|access[_\- ]?key|private[_\- ]?key|auth|credential|bearer)")
 HASHED = re.compile(r"(?i)\b(commit|sha\d*|md5|checksum|digest|etag|uuid|guid|revision|hash|build|version|isbn|doi)\b")
 FAKE = re.compile(r"(?i)(example|sample|dummy|placeholder|your|changeme|xxxx|todo|redacted|test|lorem|foobar|insert|null|none)")
@@ -95,20 +95,28 @@ def features(value: str, before: str, after: str, path: str) -> list[float]:
     ]
 
 
-def _mixed(value: str) -> bool:
-    return any(c in value for c in "0123456789") and not value.isdigit()
+def _digits(value: str) -> bool:
+    return any(c in value for c in "0123456789")
+
+
+def _blocks(text: str):
+    """Spans of private-key blocks, from a BEGIN to the next END."""
+    at = 0
+    while (a := BEGIN.search(text, at)) and (b := END.search(text, a.end())):
+        yield a.start(), b.end()
+        at = b.end()
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans that may be secrets, by start, of equal starts the longest first; spans may overlap."""
-    spans = {m.span() for m in BLOCK.finditer(text)} if "-----BEGIN" in text else set()
+    spans = set(_blocks(text))
     known = 0
     for m in RUN.finditer(text):
         a, v = m.start(), m.group()
-        if _mixed(v):
+        if _digits(v):
             spans.add(m.span())
             if "=" in v.rstrip("="):
-                spans |= {(a + k.start(), a + k.end()) for k in PART.finditer(v) if len(k.group()) >= 16 and _mixed(k.group())}
+                spans |= {(a + k.start(), a + k.end()) for k in PART.finditer(v) if len(k.group()) >= 16 and _digits(k.group())}
         if m.end() > known:
             at, stop = max(a, known), DOTTED.match(text, m.end()).end() if "eyJ" in v else m.end()
             while k := INNER.search(text, at, stop):
@@ -203,7 +211,7 @@ class Forest:
 
 def default_findings(n: int = 6000, seed: int = 7) -> list[tuple[str, str, str, str, int]]:
     """(value, before, after, path, label) of n labelled findings, half of them secrets."""
-    r = random.Random(seed)
+    r, numbers = random.Random(seed), random.Random(seed + 1_000_003)
     letters = "abcdefghijklmnopqrstuvwxyz"
     syllables = "the an er on re ha ed en ou st ti nd es or at eau ment sch lich keit ado cion ra el pf tion ing ble ly qua vi".split()
     pool = sorted(DICTIONARY)
@@ -253,6 +261,8 @@ def default_findings(n: int = 6000, seed: int = 7) -> list[tuple[str, str, str,
                 value = f"{r.randint(1990, 2030)}-{r.randint(10, 12)}-{r.randint(10, 28)}T{r.randint(10, 23)}-{r.randint(10, 59)}-{r.randint(10, 59)}Z"
             elif kind == 7:
                 value = "-".join(from_("0123456789", 4) for _ in range(r.randint(4, 5))) + r.choice(("", "=", "-"))
+                if numbers.random() < 0.6:  # card, account and telephone numbers
+                    value, before = "".join(numbers.choice("0123456789") for _ in range(numbers.choice((16, 16, 17, 18, 20)))), before + numbers.choice(("", "card ", "id=", "order: ", "call "))
             elif kind == 8:
                 value = "".join(r.choice(syllables) for _ in range(r.randint(7, 14))) + r.choice(("1", "2", "-2", "_3"))
             elif kind == 9:
@@ -306,6 +316,8 @@ def cut(text: str, found: list[tuple[int, int, float]], mark: str) -> str:
 
 def scan(df: DataFrame, text: str = "text", path: str = "source", forest: Forest | None = None, threshold: float = 0.5, redacted: str | None = None, mark: str = MARK, out: str = "scan") -> DataFrame:
     """df with a struct column: n_candidates, n_secrets, spans (code-point start, end, probability of each secret); with `redacted`, also that column: the text with its secrets replaced by the mark."""
+    if clash := {out, redacted if redacted != text else None} & set(df.columns):
+        raise ValueError(f"{sorted(clash)} are columns already")
     model = df.sparkSession.sparkContext.broadcast(forest or train())
     fields = "n_candidates long, n_secrets long, spans array<struct<start: int, end: int, probability: double>>" + (", redacted string" if redacted else "")
 
