@@ -4,15 +4,16 @@ Every vector goes to its nearest pivot. For a group with pivot p and radius r,
 <q, x> <= <q, p> + |q| r for all of its members x, so a group is needed by a
 query only if that bound reaches the query's k-th best score over a fixed seed
 sample (real candidates, so a true lower bound). Pivots and seeds are the rows
-of smallest hash, `n_pivots` and `n_seeds` of them at every size; the summary is
-one row per pivot. The queries, the smaller side, are what is replicated to the
+of smallest hash, `n_seeds` of them at every size and pivots by the root of the number
+of rows, 64 to 1,024; the summary is one row per pivot. The queries, the smaller side, are what is replicated to the
 groups that need them. Groups are cut into chunks of about `chunk_rows` rows and
 queries into blocks, so neither a group of equal vectors nor many queries land
-in one task; every (chunk, block) keeps its own k best and a window merges them.
+in one task; a chunk is sent to the blocks with a query that needs its group, and to no other.
+Every (chunk, block) keeps its own k best and a window merges them.
 
 Defined results: vectors that are null or hold a null or non-finite component,
-and rows with a null id, take no part; repeated rows count once; candidates with
-the query's id are its own; shorter vectors count as padded with zeros; ties go
+and rows with a null id, take no part; a repeated row is a candidate each time and
+asks once; candidates with the query's id are its own; shorter vectors count as padded with zeros; ties go
 to the smaller id; scores beyond a long are clipped to it; an empty table gives
 an empty table.
 """
@@ -89,11 +90,12 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
     return over | (level & (np.cumsum(level, axis=1) <= k - over.sum(axis=1, keepdims=True)))
 
 
-def top_k(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", every: int = 50, k: int = 5, n_pivots: int = 64, n_seeds: int = 1024, chunk_rows: int = 4096, block_queries: int = 4096) -> DataFrame:
+def top_k(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", every: int = 50, k: int = 5, n_pivots: int | None = None, n_seeds: int = 1024, chunk_rows: int = 4096, block_queries: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: for the rows whose id is divisible by `every`, their k best others."""
     slim = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
-    data = materialize(slim.mapInArrow(_quantized, "vec_id long, v binary").dropDuplicates(["vec_id", "v"]), "vectors")
-    seeds = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_seeds).toPandas()
+    data = materialize(slim.mapInArrow(_quantized, "vec_id long, v binary"), "vectors")
+    n_pivots = n_pivots or min(1024, max(64, int(data.count() ** 0.5) // 4))
+    seeds = data.dropDuplicates(["vec_id", "v"]).orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_seeds).toPandas()
     seed_ids, seed_v = seeds["vec_id"].to_numpy(), _matrix(list(seeds["v"]))
     pivots = seed_v[:n_pivots]
 
@@ -131,11 +133,14 @@ def top_k(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", e
 
     if n_chunks is None:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    asked = grouped.filter(F.col("vec_id") % every == 0).select("vec_id", "v")
+    asked = grouped.filter(F.col("vec_id") % every == 0).select("vec_id", "v").distinct()
     n_blocks = max(1, -(-asked.count() // block_queries))
     queries = asked.mapInArrow(place, "g int, chunk int, query_id long, q binary").withColumn("block", F.pmod(F.xxhash64("query_id", "q"), F.lit(n_blocks)).cast("int"))
-    parts = grouped.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), F.element_at(n_chunks, F.col("g"))).cast("int"))
-    parts = parts.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))) if n_blocks > 1 else parts.withColumn("block", F.lit(0))
+    queries = materialize(queries, "queries")
+    parts = grouped.withColumn("chunk", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.element_at(n_chunks, F.col("g"))).cast("int"))
+    # What the bounds leave: the blocks that need a group, n_pivots of each block at most.
+    needed = queries.select(F.col("g").alias("__g"), F.col("block").alias("__block")).distinct()
+    parts = parts.join(needed, F.col("g") == F.col("__g")).select("g", "chunk", F.col("__block").alias("block"), "vec_id", "v")
     keys = ["g", "chunk", "block"]
 
     def solve(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
