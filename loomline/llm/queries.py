@@ -10,9 +10,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .mixing import plan
+    from .mixing import in_order, plan
 
-    return plan(table(spark, sf_dir, "documents"))
+    return in_order(plan(table(spark, sf_dir, "documents")))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,9 +30,9 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    from .url_filters import judge, junk_page
+    from .url_filters import judge, junk_page, listed_page
 
-    return judge(table(spark, sf_dir, "pages"), bad=junk_page(F.col("html")))
+    return judge(table(spark, sf_dir, "pages"), bad=listed_page(F.col("url")) | junk_page(F.col("html")))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

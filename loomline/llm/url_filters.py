@@ -110,6 +110,15 @@ def junk_page(html: Column) -> Column:
     return F.when(c.word_chars() > 0, c.n_symbols() * 20 > c.word_chars())
 
 
+#: Words of a host that label its pages as bad where no labels are given. Fixed values.
+LISTED = ("casino", "bets", "pills", "adult", "viagra", "porn", "poker")
+
+
+def listed_page(url: Column) -> Column:
+    """Whether a word of LISTED stands in the url's host."""
+    return F.coalesce(F.lower(F.regexp_extract(url, r"://([^/?#]*)", 1)).rlike(rf"(^|[.\-])({'|'.join(LISTED)})([.\-]|$)"), F.lit(False))
+
+
 def judge(df: DataFrame, page_id: str = "page_id", url: str = "url", bad: Column | None = None, rules=RULES, options: TreeOptions = TreeOptions()) -> DataFrame:
     """page_id, host, path, rule, verdict and the template and purity that a page without a rule is judged by. `bad`: the label column, boolean or null."""
     labelled = F.lit(None).cast("boolean") if bad is None else bad.cast("boolean")
