@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .anchors import Words
 from .chunks import LAST_ID, chunk_table
+from .common import drop_table, materialize
 from .repeats import CHUNK, Job, _binary_rows, merged, open_chunk, removed_windows, rounds
 
 LENGTH = 13
@@ -156,8 +157,10 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int
                     rows.append((*row, kept.decode()) if keep_text else row)
                 yield from _binary_rows(rows, schema)
 
-    out = rounds(chunks, job).mapInArrow(finish, "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if keep_text else ""))
-    out._chunks = chunks
+    told = rounds(chunks, job)
+    out = materialize(told.mapInArrow(finish, "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if keep_text else "")), "substring-dedup")
+    drop_table(told)
+    chunks.drop()
     return out
 
 

@@ -410,4 +410,6 @@ def rounds(chunks: ChunkTable, job: Job) -> DataFrame:
     texts = state.filter("kind = 1").groupBy("shard").applyInArrow(_solver(job), ANSWER)
     windows = state.filter("kind = 2").withColumnRenamed("shard", "bucket").groupBy("bucket").applyInArrow(_answerer(job, 2, True), ANSWER)
     answers = state.filter("kind = 0").unionByName(texts).unionByName(windows)
-    return t.select(*body).join(together(answers), "chunk", "left")
+    out = t.select(*body).join(together(answers), "chunk", "left")
+    out._scratch_path = state._scratch_path
+    return out

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 
 from .anchors import Bytes
 from .chunks import chunk_table
+from .common import drop_table, materialize
 from .repeats import CHUNK, Job, _binary_rows, merged, open_chunk, removed_windows, rounds
 
 LENGTH = 400
@@ -159,6 +160,8 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int
                     rows.append((*row, whole) if keep_bytes else row)
                 yield from _binary_rows(rows, schema)
 
-    out = rounds(chunks, job).mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>" + (", kept binary" if keep_bytes else ""))
-    out._chunks = chunks
+    told = rounds(chunks, job)
+    out = materialize(told.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>" + (", kept binary" if keep_bytes else "")), "substring-dedup")
+    drop_table(told)
+    chunks.drop()
     return out
