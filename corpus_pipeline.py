@@ -3,6 +3,18 @@
 Each stage takes all that the one before kept, as a table, and returns the columns
 of documents (the last one: every document's tokens). run() writes each stage's
 result into the shared folder and reads it back.
+
+Defined results, stage by stage:
+
+- quality rules: null, empty and short texts are rejected; repeated rows are judged each.
+- near-duplicates: of repeated rows and near copies one stays, the row of least id (a null id
+  last); rows that share an id, or have none, stand for their own texts.
+- secret scans: no row goes; a null source counts as an empty path; very long texts are read whole.
+- mixing: a null source is one of its own; repeated rows are taken each; a row of size 0 isn't taken.
+- tokens: a row for each copy, in no order; ties and repeated rows are rows of their own.
+
+Columns besides those of documents, whatever their names, pass through all but the last
+stage; an empty table gives an empty table at every stage.
 """
 
 from __future__ import annotations
@@ -61,7 +73,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        after = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        made = stage(spark, docs, sf_dir)
+        after = materialize(made, name.replace(" ", "-"))
+        drop_table(made)
         if before is not None:
             drop_table(before)
         docs = before = after
