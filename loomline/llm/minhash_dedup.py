@@ -251,7 +251,9 @@ def _compared(df: DataFrame, doc_id: str, text: str, threshold: float, bands: in
         drop_table(t)
     comp = _linked(members, sketched.select("node", "body"), threshold)
     drop_table(members)
-    return sketched.select("doc_id", "node"), comp
+    own = sketched.select("doc_id", "node")
+    own._scratch_path = sketched._scratch_path
+    return own, comp
 
 
 def _linked(members: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
@@ -324,7 +326,10 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold
     own, comp = _compared(df, doc_id, text, threshold, bands, rows)
     named = own.join(comp.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("doc_id", F.coalesce("comp", "node").alias("comp"))
     per = named.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")).withColumnRenamed("comp", "c")
-    return named.join(per, F.col("comp") == F.col("c"), "left").select("doc_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
+    out = materialize(named.join(per, F.col("comp") == F.col("c"), "left").select("doc_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size")), "classes")
+    for t in (own, comp):
+        drop_table(t)
+    return out
 
 
 def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -336,6 +341,9 @@ def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     least = own.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("d"))
     named = least.join(comp.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("d", "node", F.coalesce("comp", "node").alias("comp"))
     keep = named.groupBy("comp").agg(F.min(F.struct("d", "node")).alias("p")).select(F.col("p.d.doc_id").alias("__d"), F.col("p.node").alias("__n"))
+    keep = materialize(keep, "representatives")
+    for t in (own, comp):
+        drop_table(t)
     has_word = F.coalesce(F.col(text).cast("string").rlike(WORD), F.lit(False))
     full = df.filter(has_word).withColumn("__node", _node_of(F.col(text).cast("string")))
     rows_ = full.join(keep, (F.col("__node") == F.col("__n")) & full[doc_id].cast("long").eqNullSafe(F.col("__d")), "left_semi")
