@@ -91,28 +91,34 @@ def word_chunks(df: DataFrame, key: str, text: str, chunk_words: int = CHUNK_WOR
     kind = slim.schema["key"].dataType.simpleString()
 
     def pack(batches):
-        keys, lengths, places, table, held, schema = [], [], [], {}, 0, None
+        keys, lengths, parts, held = [], [], [], 0
 
         def out():
-            every, n = np.concatenate(places), len(table)
-            order = np.argsort(-np.bincount(every, minlength=n), kind="stable")
-            rank = np.empty(n, np.uint32)
-            rank[order] = np.arange(n, dtype=np.uint32)
-            found = list(table)
-            lines = "\n".join([found[k] for k in order.tolist()])
-            columns = [pa.array([pa.concat_arrays(keys)], pa.list_(keys[0].type)), pa.array([pack_columns(np.concatenate(lengths))]), pa.array([pack_columns(rank[every])]), pa.array([lines if n else None], pa.string())]
+            # Words stay in Arrow's memory; as Python objects a chunk's would be several times as large.
+            same = pa.chunked_array(parts).unify_dictionaries() if parts else None
+            every = np.concatenate([c.indices.to_numpy() for c in same.chunks]) if parts else np.zeros(0, np.int32)
+            lines = None
+            if parts:
+                found = same.chunk(0).dictionary
+                order = np.argsort(-np.bincount(every, minlength=len(found)), kind="stable")
+                rank = np.empty(len(found), np.uint32)
+                rank[order] = np.arange(len(found), dtype=np.uint32)
+                every = rank[every]
+                listed = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found.take(pa.array(order)))
+                lines = pc.binary_join(listed, "\n")[0].as_py()
+            columns = [pa.array([pa.concat_arrays(keys)], pa.list_(keys[0].type)), pa.array([pack_columns(np.concatenate(lengths))]), pa.array([pack_columns(every)]), pa.array([lines], pa.string())]
             return pa.RecordBatch.from_arrays(columns, names=["keys", "lengths", "places", "words"])
 
         for b in batches:
             some = b["w"].flatten().dictionary_encode()
-            at = np.fromiter((table.setdefault(w, len(table)) for w in some.dictionary.to_pylist()), np.uint32, len(some.dictionary))
-            places.append(at[some.indices.to_numpy(zero_copy_only=False)] if len(some) else np.zeros(0, np.uint32))
+            if len(some):
+                parts.append(some)
             lengths.append(pc.fill_null(pc.list_value_length(b["w"]), 0).to_numpy(zero_copy_only=False).astype(np.uint32))
             keys.append(b["key"])
             held += len(some)
             if held >= chunk_words:
                 yield out()
-                keys, lengths, places, table, held = [], [], [], {}, 0
+                keys, lengths, parts, held = [], [], [], 0
         if keys:
             yield out()
 
