@@ -96,10 +96,12 @@ def word_chunks(df: DataFrame, key: str, text: str, chunk_words: int = CHUNK_WOR
         def out():
             # Words stay in Arrow's memory; as Python objects a chunk's would be several times as large.
             same = pa.chunked_array(parts).unify_dictionaries() if parts else None
-            every = np.concatenate([c.indices.to_numpy() for c in same.chunks]) if parts else np.zeros(0, np.int32)
+            parts.clear()
+            every = np.concatenate([c.indices.to_numpy() for c in same.chunks]) if same else np.zeros(0, np.int32)
             lines = None
-            if parts:
+            if same:
                 found = same.chunk(0).dictionary
+                del same
                 order = np.argsort(-np.bincount(every, minlength=len(found)), kind="stable")
                 rank = np.empty(len(found), np.uint32)
                 rank[order] = np.arange(len(found), dtype=np.uint32)
