@@ -109,6 +109,8 @@ def word_chunks(df: DataFrame, key: str, text: str, chunk_words: int = CHUNK_WOR
                 listed = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found.take(pa.array(order)))
                 lines = pc.binary_join(listed, "\n")[0].as_py()
             columns = [pa.array([pa.concat_arrays(keys)], pa.list_(keys[0].type)), pa.array([pack_columns(np.concatenate(lengths))]), pa.array([pack_columns(every)]), pa.array([lines], pa.string())]
+            del every
+            pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_arrays(columns, names=["keys", "lengths", "places", "words"])
 
         for b in batches:

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,13 +37,17 @@ def expand(blob: bytes) -> bytes:
 
 
 def pack_columns(*arrays: np.ndarray) -> bytes:
-    """Arrays of one length each, as byte planes (small and sorted values leave empty planes), compressed."""
-    head = [np.array([len(arrays)], "<u4").tobytes()]
-    body = []
+    """Arrays of one length each, as byte planes (small and sorted values leave empty planes), compressed plane by plane, so that no second copy of all is held."""
+    sizes = [np.array([len(arrays)], "<u4").tobytes()]
+    sizes += [np.array([len(a), a.dtype.itemsize], "<u4").tobytes() + a.dtype.str.encode().ljust(8) for a in arrays]
+    head = b"".join(sizes)
+    stream = zstandard.ZstdCompressor(level=1).compressobj()
+    out = [(len(head) + sum(a.nbytes for a in arrays)).to_bytes(8, "little"), stream.compress(head)]
     for a in arrays:
-        head.append(np.array([len(a), a.dtype.itemsize], "<u4").tobytes() + a.dtype.str.encode().ljust(8))
-        body.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes())
-    return squeeze(b"".join(head + body))
+        if len(a):
+            planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T
+            out += [stream.compress(p.tobytes()) for p in planes]
+    return b"".join([*out, stream.flush()])
 
 
 def unpack_columns(blob: bytes) -> list[np.ndarray]:
