@@ -24,7 +24,7 @@ def write_text(df: DataFrame, path: str, column: str = "text") -> None:
 
 
 def write_json(spark: SparkSession, value, path: str) -> None:
-    """A small value as indented UTF-8 JSON: written beside the target, then renamed onto it."""
+    """A small value as indented UTF-8 JSON: written beside the target, then renamed onto it in one step."""
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -35,9 +35,12 @@ def write_json(spark: SparkSession, value, path: str) -> None:
         out.write(bytearray(json.dumps(value, indent=2, ensure_ascii=False, default=str).encode()))
     finally:
         out.close()
-    fs.delete(target, False)
-    if not fs.rename(part, target):
-        raise OSError(f"could not rename {path}.part")
+    # One rename that replaces the target: a reader finds the old file or the new one, never none.
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(part), fs.makeQualified(target), how)
 
 
 def write_report(report: DataFrame, path: str, digits: int = 2, **extra) -> dict:

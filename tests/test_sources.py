@@ -99,3 +99,11 @@ def test_end_to_end(spark):
     assert gate.gate_report(gated).first().status == "PASS"
     assert tuple(split.split_sizes(split.train_val(gated, "ord", 0.5)).first()) == (2, 1, 1)
     assert stats.dataset_statistics(merged).first().total_examples == 2 and dedup.by_pair_hash(merged).count() == 2
+
+
+def test_json_replaces_what_is_there(spark, tmp_path):
+    path = tmp_path / "r.json"
+    for k in (1, 2):
+        sinks.write_json(spark, {"k": k}, str(path))
+        assert json.loads(path.read_text()) == {"k": k}
+    assert not (tmp_path / "r.json.part").exists()
