@@ -46,6 +46,8 @@ CHUNK_WORDS, CHUNK_PARTITIONS = 8 << 20, 2
 ANSWER_ROWS = 1 << 19
 #: Words of texts whose ids are put together at once.
 BLOCK_WORDS = 1 << 18
+#: Bytes of a batch between Spark and a task's Python; a longer text is a batch of its own.
+BATCH_BYTES = 8 << 20
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -91,45 +93,58 @@ def word_chunks(df: DataFrame, key: str, text: str, chunk_words: int = CHUNK_WOR
     kind = slim.schema["key"].dataType.simpleString()
 
     def pack(batches):
-        keys, lengths, parts, held = [], [], [], 0
+        # Words stay in Arrow's memory, in one growing dictionary, and their places in one array; as Python objects they would be several times as large.
+        keys, lengths, pending, held = [], [], [], 0
+        found, every = pa.array([], pa.string()), np.empty(chunk_words + BLOCK_WORDS, np.uint32)
+
+        def merge():
+            """Bring the batches' own dictionaries into the chunk's, whose words keep their places."""
+            nonlocal found
+            named = pa.concat_arrays([found, *(d for d, _, _ in pending)]).dictionary_encode()
+            to, at = named.indices.to_numpy(), len(found)
+            for d, start, stop in pending:
+                every[start:stop] = to[at + every[start:stop]]
+                at += len(d)
+            pending.clear()
+            found = named.dictionary
 
         def out():
-            # Words stay in Arrow's memory; as Python objects a chunk's would be several times as large.
-            same = pa.chunked_array(parts).unify_dictionaries() if parts else None
-            parts.clear()
-            every = np.concatenate([c.indices.to_numpy() for c in same.chunks]) if same else np.zeros(0, np.int32)
-            lines = None
-            if same:
-                found = same.chunk(0).dictionary
-                del same
-                order = np.argsort(-np.bincount(every, minlength=len(found)), kind="stable")
-                rank = np.empty(len(found), np.uint32)
-                rank[order] = np.arange(len(found), dtype=np.uint32)
-                every = rank[every]
-                listed = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found.take(pa.array(order)))
-                lines = pc.binary_join(listed, "\n")[0].as_py()
-            columns = [pa.array([pa.concat_arrays(keys)], pa.list_(keys[0].type)), pa.array([pack_columns(np.concatenate(lengths))]), pa.array([pack_columns(every)]), pa.array([lines], pa.string())]
-            del every
+            merge()
+            order = np.argsort(-np.bincount(every[:held], minlength=len(found)), kind="stable")
+            rank = np.empty(len(found), np.uint32)
+            rank[order] = np.arange(len(found), dtype=np.uint32)
+            for at in range(0, held, BLOCK_WORDS):
+                stop = min(held, at + BLOCK_WORDS)
+                every[at:stop] = rank[every[at:stop]]
+            listed = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found.take(pa.array(order)))
+            lines = pc.binary_join(listed, "\n") if held else pa.nulls(1, pa.string())
+            columns = [pa.array([pa.concat_arrays(keys)], pa.list_(keys[0].type)), pa.array([pack_columns(np.concatenate(lengths))]), pa.array([pack_columns(every[:held])]), lines]
             pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_arrays(columns, names=["keys", "lengths", "places", "words"])
 
         for b in batches:
             some = b["w"].flatten().dictionary_encode()
-            if len(some):
-                parts.append(some)
+            if held + len(some) > len(every):
+                every = np.concatenate([every[:held], np.empty(len(some), np.uint32)])
+            every[held : held + len(some)] = some.indices.to_numpy()
+            pending.append((some.dictionary, held, held + len(some)))
+            held += len(some)
             lengths.append(pc.fill_null(pc.list_value_length(b["w"]), 0).to_numpy(zero_copy_only=False).astype(np.uint32))
             keys.append(b["key"])
-            held += len(some)
+            del b, some
+            if sum(len(d) for d, _, _ in pending) > max(len(found), BLOCK_WORDS):
+                merge()
             if held >= chunk_words:
                 yield out()
-                keys, lengths, parts, held = [], [], [], 0
+                keys, lengths, held = [], [], 0
+                found, every = pa.array([], pa.string()), np.empty(chunk_words + BLOCK_WORDS, np.uint32)
         if keys:
             yield out()
 
     spark = df.sparkSession
     path, name = fresh_path(spark, "word-chunks"), f"loomline_words_{uuid.uuid4().hex}"
     packed = slim.coalesce(max(1, -(-slim.rdd.getNumPartitions() // CHUNK_PARTITIONS))).mapInArrow(pack, f"keys array<{kind}>, lengths binary, places binary, words string")
-    with small_batches(spark):
+    with small_batches(spark, size=BATCH_BYTES):
         packed.withColumn("chunk", F.monotonically_increasing_id()).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").option("compression", "zstd").option("path", path).format("parquet").saveAsTable(name)
     return ChunkTable(spark.table(name), name, path)
 
@@ -158,8 +173,8 @@ def _encoder(path: str, answer_rows: int):
             known = distinct[0] == last
             found = ([last_ids] if known else []) + encode_words(path, distinct[known:])
             last, last_ids = distinct[-1], found[-1]
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for x in found for i in x), np.int64, int(size.sum()))
+            size = np.fromiter(map(len, found), np.int32, len(found))
+            flat = np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))
             of = some.indices.to_numpy(zero_copy_only=False)
             parts.append((b["chunk"].to_numpy(zero_copy_only=False), b["place"].to_numpy(zero_copy_only=False), size[of], flat[_ragged((np.cumsum(size) - size)[of], size[of])]))
             held += len(of)
@@ -223,7 +238,7 @@ def _encoded(df: DataFrame, key: str, text: str, path: str, columns: list[tuple[
                 if keys:
                     yield out()
 
-    with small_batches(df.sparkSession, 10_000, 32 << 20):
+    with small_batches(df.sparkSession, 10_000, BATCH_BYTES):
         done = materialize(joined.mapInArrow(finish, ", ".join([f"key {kind}", *(f"{n} {t}" for n, t, _ in columns)])), "encoded")
     chunks.drop()
     return done

@@ -51,15 +51,16 @@ def pack_columns(*arrays: np.ndarray) -> bytes:
 
 
 def unpack_columns(blob: bytes) -> list[np.ndarray]:
-    raw = expand(blob)
-    k = int(np.frombuffer(raw, "<u4", 1)[0])
-    at, out = 4 + 16 * k, []
-    for i in range(k):
-        n, size = (int(x) for x in np.frombuffer(raw, "<u4", 2, 4 + 16 * i))
-        kind = raw[12 + 16 * i : 20 + 16 * i].decode().strip()
-        planes = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
-        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
-        at += n * size
+    """What pack_columns() packed, decompressed plane by plane."""
+    stream = zstandard.ZstdDecompressor().stream_reader(memoryview(blob)[8:])
+    k = int.from_bytes(stream.read(4), "little")
+    heads, out = [stream.read(16) for _ in range(k)], []
+    for head in heads:
+        n, size = (int(x) for x in np.frombuffer(head, "<u4", 2))
+        values = np.empty((n, size), np.uint8)
+        for j in range(size if n else 0):
+            values[:, j] = np.frombuffer(stream.read(n), np.uint8)
+        out.append(values.reshape(-1).view(head[8:].decode().strip()))
     return out
 
 
