@@ -28,6 +28,7 @@ and `decode`; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 from functools import lru_cache
 
@@ -60,6 +61,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    # A task has one core; the library's threads would each keep memory of their own.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     t = Tokenizer.from_file(path)
     t.no_padding()
     t.no_truncation()
