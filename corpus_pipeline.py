@@ -31,6 +31,9 @@ from loomline.llm.mixing import mix
 from loomline.llm.quality_rules import keep
 from loomline.llm.secret_scans import redact
 
+#: Words of a chunk in the tokens stage, half of the operator's own: executors still hold what earlier stages left in memory.
+CHUNK_WORDS = 4 << 20
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that no quality rule rejects."""
@@ -55,7 +58,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded text, a row for each copy."""
-    return digests(docs)
+    return digests(docs, chunk_words=CHUNK_WORDS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
