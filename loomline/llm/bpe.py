@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import ChunkTable, pack_columns, unpack_columns
-from .common import fresh_path, materialize, small_batches, words
+from .common import fresh_path, materialize, small_batches, tidy, words
 
 #: A chunk ends with the batch that brings it to so many words, or with its task; a task packs so many of the scan's partitions.
 CHUNK_WORDS, CHUNK_PARTITIONS = 8 << 20, 2
@@ -146,7 +146,7 @@ def word_chunks(df: DataFrame, key: str, text: str, chunk_words: int = CHUNK_WOR
 
     spark = df.sparkSession
     path, name = fresh_path(spark, "word-chunks"), f"loomline_words_{uuid.uuid4().hex}"
-    packed = slim.coalesce(max(1, -(-slim.rdd.getNumPartitions() // CHUNK_PARTITIONS))).mapInArrow(pack, f"keys array<{kind}>, lengths binary, places binary, words string")
+    packed = slim.coalesce(max(1, -(-slim.rdd.getNumPartitions() // CHUNK_PARTITIONS))).mapInArrow(tidy(pack), f"keys array<{kind}>, lengths binary, places binary, words string")
     with small_batches(spark, size=BATCH_BYTES):
         packed.withColumn("chunk", F.monotonically_increasing_id()).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").option("compression", "zstd").option("path", path).format("parquet").saveAsTable(name)
     return ChunkTable(spark.table(name), name, path)
@@ -217,7 +217,7 @@ def _encoded(df: DataFrame, key: str, text: str, path: str, columns: list[tuple[
     """key and the columns that make(ids) gives of every text, as a table in the shared folder."""
     chunks = word_chunks(df, key, text, chunk_words)
     asked = chunks.table.select("chunk", F.posexplode(F.split("words", "\n")).alias("place", "word")).repartition("word").sortWithinPartitions("word")
-    answers = asked.mapInArrow(_encoder(path, answer_rows), "chunk long, blob binary").groupBy("chunk").agg(F.collect_list("blob").alias("answers"))
+    answers = asked.mapInArrow(tidy(_encoder(path, answer_rows)), "chunk long, blob binary").groupBy("chunk").agg(F.collect_list("blob").alias("answers"))
     joined = chunks.table.select("chunk", "keys", "lengths", "places").join(answers.hint("shuffle_hash"), "chunk", "left")
     kind = df.schema[key].dataType.simpleString()
 
@@ -242,7 +242,7 @@ def _encoded(df: DataFrame, key: str, text: str, path: str, columns: list[tuple[
                     yield out()
 
     with small_batches(df.sparkSession, 10_000, BATCH_BYTES):
-        done = materialize(joined.mapInArrow(finish, ", ".join([f"key {kind}", *(f"{n} {t}" for n, t, _ in columns)])), "encoded")
+        done = materialize(joined.mapInArrow(tidy(finish), ", ".join([f"key {kind}", *(f"{n} {t}" for n, t, _ in columns)])), "encoded")
     chunks.drop()
     return done
 

@@ -41,7 +41,7 @@ from pyspark.sql.types import BinaryType
 
 from .anchors import BYTE_VALUES, Prefix, gram_hashes, mix, word_spans
 from .chunks import expand, squeeze
-from .common import WORD, drop_table, materialize, small_batches
+from .common import WORD, drop_table, materialize, small_batches, tidy
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -237,7 +237,7 @@ def _compared(df: DataFrame, doc_id: str, text: str, threshold: float, bands: in
     spark = df.sparkSession
     slim = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     with small_batches(spark):
-        sketched = materialize(slim.mapInArrow(_sketch(bands, rows), SKETCH), "sketches")
+        sketched = materialize(slim.mapInArrow(tidy(_sketch(bands, rows)), SKETCH), "sketches")
     nodes = sketched.filter("node is not null").groupBy("node").agg(*(F.first(c).alias(c) for c in ("bands", "weight", "shingles", "bits")))
     nodes = materialize(nodes, "nodes")
     # A band's number is part of its key. Shuffled joins at every size: a broadcast would only ever fit small tables.
@@ -281,7 +281,7 @@ def _linked(members: DataFrame, bodies: DataFrame, threshold: float) -> DataFram
         body = lambda n: text.select(F.col("node").alias(n), F.col("body").alias(f"{n}_body"))
         with small_batches(spark):
             both = pairs.join(body("a").hint("shuffle_merge"), "a").join(body("b").hint("shuffle_merge"), "b")
-            found = both.select("a", "b", "a_comp", "b_comp", "a_body", "b_body").mapInArrow(_verify(threshold), "a binary, b binary, a_comp binary, b_comp binary, similar boolean")
+            found = both.select("a", "b", "a_comp", "b_comp", "a_body", "b_body").mapInArrow(tidy(_verify(threshold)), "a binary, b binary, a_comp binary, b_comp binary, similar boolean")
             done.append(materialize(found, "verified"))
         drop_table(text)
         drop_table(pairs)
