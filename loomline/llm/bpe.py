@@ -42,7 +42,7 @@ from .chunks import ChunkTable, pack_columns, unpack_columns
 from .common import fresh_path, materialize, small_batches, tidy, words
 
 #: A chunk ends with the batch that brings it to so many words, or with its task; a task packs so many of the scan's partitions.
-CHUNK_WORDS, CHUNK_PARTITIONS = 5 << 20, 2
+CHUNK_WORDS, CHUNK_PARTITIONS = 6 << 20, 2
 #: Answers that a task holds before it deals them to chunks.
 ANSWER_ROWS = 1 << 19
 #: Words of texts whose ids are put together at once.
