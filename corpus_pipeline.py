@@ -31,7 +31,7 @@ from loomline.llm.mixing import mix
 from loomline.llm.quality_rules import keep
 from loomline.llm.secret_scans import redact
 
-#: Words of a chunk in the tokens stage, half of the operator's own: executors still hold what earlier stages left in memory.
+#: Words of a chunk in the tokens stage, fewer than by the operator's own default: executors still hold what earlier stages left in memory.
 CHUNK_WORDS = 4 << 20
 
 
