@@ -14,6 +14,10 @@ WS_RANGES = "\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{202
 WS = f"[{WS_RANGES}]"
 NOT_WS = f"[^{WS_RANGES}]"
 WORD = "[\\p{L}\\p{N}_]"
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+# For Java's patterns over whole texts: letters fail the first two ranges, so that the others are not tried on them; a single blank is no match.
+_WS = f"[\\x00-\\x20\\x{{80}}-\\x{{3000}}&&{WS}]"
+_NOT_ONE_BLANK = f"[\\x00-\\x1f\\x{{80}}-\\x{{3000}}&&{WS}]{_WS}*| {_WS}+"
 # Watermarks, headings, marks of code, greetings.
 WATERMARKS = ("OceanofPDF\\.com", "www\\.allitebooks\\.com", "www\\.it-ebooks\\.info")
 HEADINGS = (f"(?iu)^{WS}*Chapter{WS}+\\p{{Nd}}+[:.]?", f"(?iu)^{WS}*Part{WS}+[IVXLCDM]+[:.]?", f"^{WS}*\\p{{Nd}}+\\.{WS}+[A-Z][a-zA-Z{WS_RANGES}]+\\z")
@@ -30,7 +34,8 @@ def let(value: Column, body) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{WS}+|{WS}+\\z", "")
+    """By trim, which looks at the ends only; a pattern tries every blank of the text, and a long run from each of its places."""
+    return F.trim(text, F.lit(SPACES))
 
 
 def rstrip(text: Column) -> Column:
@@ -39,7 +44,7 @@ def rstrip(text: Column) -> Column:
 
 def normalized(text: Column) -> Column:
     """Lower case, runs of whitespace as one blank, none at the ends."""
-    return F.regexp_replace(F.regexp_replace(F.lower(text), f"{WS}+", " "), "^ | $", "")
+    return F.trim(F.regexp_replace(F.lower(text), _NOT_ONE_BLANK, " "))
 
 
 def text_hash(text: Column) -> Column:

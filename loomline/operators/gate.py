@@ -6,6 +6,8 @@ behind it are duplicates, over-long rows before it are over-long.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,27 +19,40 @@ DUPLICATE = "Duplicate example found"
 NOT_A_RECORD = "Record is not a valid JSON dictionary"
 
 
-def _gated(df: DataFrame, early: Column, key: Column, size: Column, order: str, max_tokens: int) -> DataFrame:
-    """df with `reason` (null: valid)."""
-    rows = df.withColumn("__early", early).withColumn("__key", F.when(F.col("__early").isNull(), key)).withColumn("__size", size)
+def _gated(df: DataFrame, early: Column, key: Column, size: Column, order: str, max_tokens: int, keep: Sequence[str] | None, hashed: str | None = None) -> DataFrame:
+    """df with `reason` (null: valid).
+
+    keep: the columns to return besides order, all by default. If given, texts are read and hashed once: what the gate
+    needs of a row is dealt by its order, and the aggregate and the join read that one exchange (so keep no large column,
+    and use reason). hashed: a name for the key's column, null where a row fails early.
+    """
+    # Early failures have keys of their own: null keys would be one partition of the join, and a filter on one side of it.
+    own = F.xxhash64(order).cast("string")
+    rows = df.withColumn("__early", early).withColumn("__key", F.coalesce(F.when(F.col("__early").isNull(), key), own)).withColumn("__size", size)
+    if keep is not None:
+        rows = rows.select(*dict.fromkeys((order, *keep, "__early", "__key", "__size"))).repartition(order)
     big = F.col("__size") > max_tokens * 4
-    first = rows.filter(F.col("__early").isNull() & ~big).groupBy("__key").agg(F.min(order).alias("__first")).withColumnRenamed("__key", "__k")
+    # A condition in the aggregate: a filter would move down to the scan, with a copy of all that it stands on.
+    acceptable = F.when(F.col("__early").isNull() & ~big, F.col(order))
+    first = rows.groupBy(F.col("__key").alias("__k")).agg(F.min(acceptable).alias("__first")).filter(F.col("__first").isNotNull())
     joined = rows.join(first, F.col("__key") == F.col("__k"), "left")
+    if hashed:
+        joined = joined.withColumn(hashed, F.when(F.col("__early").isNull(), F.col("__key")))
     too_long = F.concat(F.lit("Excessive sequence length (~"), F.floor(F.col("__size") / 4).cast("string"), F.lit(" tokens)"))
     reason = F.when(F.col("__early").isNotNull(), F.col("__early")).when(F.col(order) > F.col("__first"), DUPLICATE).when(big, too_long)
     return joined.withColumn("reason", reason).drop("__early", "__key", "__k", "__first", "__size")
 
 
-def gate_texts(df: DataFrame, text: str = "text", order: str = "ord", min_length: int = MIN_LENGTH, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """Formatted rows. A null text is not a string; over-length counts the text as it stands."""
+def gate_texts(df: DataFrame, text: str = "text", order: str = "ord", min_length: int = MIN_LENGTH, max_tokens: int = MAX_TOKENS, keep: Sequence[str] | None = None, hashed: str | None = None) -> DataFrame:
+    """Formatted rows. A null text is not a string; over-length counts the text as it stands. keep, hashed: as in _gated."""
     t = F.coalesce(F.col(text), F.lit(""))
     n = F.length(strip(t))
     early = F.when(n == 0, "Field 'text' is empty or not a string").when(n < min_length, F.concat(F.lit("Formatted text too short ("), n.cast("string"), F.lit(f" chars < {min_length})")))
-    return _gated(df, early, text_hash(t), F.length(t), order, max_tokens)
+    return _gated(df, early, text_hash(t), F.length(t), order, max_tokens, keep, hashed)
 
 
-def gate_pairs(df: DataFrame, order: str = "ord", min_length: int = MIN_LENGTH, max_tokens: int = MAX_TOKENS, missing: dict[str, Column] | None = None) -> DataFrame:
-    """Instruction and response rows. missing: for a field, the condition that its key is absent (a table's null is an explicit null)."""
+def gate_pairs(df: DataFrame, order: str = "ord", min_length: int = MIN_LENGTH, max_tokens: int = MAX_TOKENS, missing: dict[str, Column] | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+    """Instruction and response rows. missing: for a field, the condition that its key is absent (a table's null is an explicit null). keep: as in _gated."""
     early = None
     for field in ("instruction", "response"):
         absent = (missing or {}).get(field, F.lit(False))
@@ -48,7 +63,7 @@ def gate_pairs(df: DataFrame, order: str = "ord", min_length: int = MIN_LENGTH,
     n = F.length(strip(F.col("response")))
     early = early.when(n < min_length, F.concat(F.lit("Response too short ("), n.cast("string"), F.lit(f" chars < {min_length})")))
     size = F.length("instruction") + F.length("response")
-    return _gated(df, early, stripped_pair_hash(F.col("instruction"), F.col("response")), size, order, max_tokens)
+    return _gated(df, early, stripped_pair_hash(F.col("instruction"), F.col("response")), size, order, max_tokens, keep)
 
 
 def gate_report(gated: DataFrame) -> DataFrame:

@@ -163,7 +163,7 @@ SELECT ord, CASE WHEN early IS NOT NULL THEN early WHEN ord > first_ok THEN 'Dup
 def gate_pairs(spark, sf_dir):
     k = F.col("conv_id") % 7
     p = pairs(spark, sf_dir).withColumns({"ord": F.col("conv_id") * 1000 + F.col("turn"), "instruction": F.when(k == 1, "  ").otherwise(F.col("instruction")), "response": F.when(k == 2, "").when(k == 3, "short").otherwise(F.col("response"))})
-    return gate.gate_pairs(p, min_length=20, missing={"response": k == 4}).select("ord", "reason")
+    return gate.gate_pairs(p, min_length=20, missing={"response": k == 4}, keep=()).select("ord", "reason")
 
 
 HELLOS = ("Hello! ", " Hi there ", "Certainly! Sure, ", "I'd be happy to help. Let's dive in. ", "Sure,  Great question! ")
@@ -451,5 +451,5 @@ f AS (SELECT doc_id, sha256(t) AS text_hash, n, size FROM d)
 SELECT doc_id, text_hash FROM (SELECT *, row_number() OVER (PARTITION BY text_hash ORDER BY doc_id) AS k FROM f WHERE n >= 50 AND size <= 16384) WHERE k = 1""")
 def clean_corpus(spark, sf_dir):
     """The flagship: normalize, hash, gate, and keep what is valid."""
-    gated = gate.gate_texts(docs(spark, sf_dir), order="doc_id").filter("reason is null")
-    return gated.select("doc_id", tx.text_hash(F.col("text")).alias("text_hash"))
+    gated = gate.gate_texts(docs(spark, sf_dir), order="doc_id", keep=(), hashed="text_hash").filter("reason is null")
+    return gated.select("doc_id", "text_hash")

@@ -84,6 +84,17 @@ def test_gate_equals_a_stateful_scan(spark):
         assert got == scan(texts)
 
 
+def test_gate_that_keeps_little_equals_the_whole(spark):
+    r = random.Random(10)
+    pool = [None, "", "\u3000\n", "short", "a" * 60, "A" * 60 + "\u00a0", "b" * 17000, "b" * 60, " " * 17000 + "c" * 60, "c" * 60]
+    rows = [(k if k % 9 else None, "en", r.choice(pool)) for k in range(90)]
+    df = spark.createDataFrame(rows, "ord int, lang string, text string").repartition(5)
+    some = gate.gate_texts(df, keep=("lang",), hashed="hash")
+    assert some.columns == ["ord", "lang", "hash", "reason"]
+    whole = gate.gate_texts(df).select("ord", "lang", F.when(F.length(tx.strip(F.col("text"))) >= 50, tx.text_hash(F.col("text"))).alias("hash"), "reason")
+    assert sorted(map(repr, some.collect())) == sorted(map(repr, whole.collect()))
+
+
 def test_gate_pairs_and_report(spark):
     rows = [(0, "q1", "r" * 30), (1, "q2", "s" * 30), (2, " ", "r" * 30), (3, "q", "tiny"), (4, None, None), (5, "Q1", "R" * 30), (6, "q", "y" * 30)]
     df = spark.createDataFrame(rows, "ord int, instruction string, response string")

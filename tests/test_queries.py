@@ -30,6 +30,14 @@ def test_query_equals_its_sql(spark, duck, name):
     assert rows(df.select(*names).collect()) == rows(result.fetchall())
 
 
+@pytest.mark.parametrize("name", ["clean_corpus"])
+def test_gate_queries_scan_and_hash_texts_once(spark, name):
+    df = QUERIES[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert (plan.count("FileScan"), plan.count("sha2("), plan.count("regexp_replace(")) == (1, 1, 1)
+
+
 def test_entry_without_the_training_data_subpackage(spark, monkeypatch):
     for name in [n for n in sys.modules if n.startswith("loomline.llm") or n in ("corpus_pipeline", "__spark_entry__")]:
         monkeypatch.delitem(sys.modules, name)

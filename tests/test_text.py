@@ -26,6 +26,13 @@ def test_whitespace_is_pythons(spark):
     assert column(spark, tx.text_hash, texts) == [hashlib.sha256(" ".join(t.strip().lower().split()).encode()).hexdigest() for t in texts]
 
 
+def test_long_runs_of_whitespace(spark):
+    run = "".join(SPACES) * 10000
+    texts = [f"{run}A{run}b{run}", run, f"A{run}b", "a b", "a\tb", " a  b "]
+    assert column(spark, tx.strip, texts) == [t.strip() for t in texts]
+    assert column(spark, tx.normalized, texts) == ["a b", "", "a b", "a b", "a b", "a b"]
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.text(st.sampled_from([*SPACES, *"aZé-ß1_\U0001f600"]), max_size=12), min_size=40, max_size=60))
 def test_text_functions_on_random_texts(spark, texts):
