@@ -30,7 +30,7 @@ def test_query_equals_its_sql(spark, duck, name):
     assert rows(df.select(*names).collect()) == rows(result.fetchall())
 
 
-@pytest.mark.parametrize("name", ["clean_corpus", "gate_issues", "gate_pairs", "gate_reasons"])
+@pytest.mark.parametrize("name", ["clean_corpus", "gate_issues", "gate_pairs", "gate_reasons", "gate_report"])
 def test_gate_queries_scan_and_hash_texts_once(spark, name):
     df = QUERIES[name](spark, SF)
     df.collect()
